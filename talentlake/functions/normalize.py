@@ -16,43 +16,56 @@ from talentlake.functions.text import contains_any, ilike_any, py_strip, py_titl
 
 
 # ---------------------------------------------------------------- N1 title
+def title_key(title: Column) -> Column:
+    """Text the title rules are searched in."""
+    return F.lower(F.coalesce(title, F.lit("")))
+
+
+def profile_of(title_text: Column, rules=L.TITLE_RULES, default=L.TITLE_DEFAULT) -> Column:
+    """Rules over a prepared title text; every rule is tried, the last match wins."""
+    return RuleSet(rules, policy="last", default=default).label(title_text)
+
+
 def title_profile(title: Column, rules=L.TITLE_RULES, default=L.TITLE_DEFAULT) -> Column:
-    """Job title -> profile; every rule is tried and the last match wins."""
-    text = F.lower(F.coalesce(title, F.lit("")))
-    return RuleSet(rules, policy="last", default=default).label(text)
+    """Job title -> profile."""
+    return profile_of(title_key(title), rules, default)
 
 
 # ---------------------------------------------------------------- N2-N5 pay
-def pay_struct(
-    pay: Column,
-    sentinels=L.PAY_SENTINELS,
-    eur_rate: float = L.EUR_TO_MAD,
-    low: float = L.PAY_MIN_PLAUSIBLE,
-    high: float = L.PAY_MAX_PLAUSIBLE,
-) -> Column:
-    """Pay text -> struct(min, max, known) in MAD.
-
-    Steps: sentinel test on the lower-cased text; drop spaces and U+202F,
-    ``,``->``.``; EUR flag; drop unit tokens; every ``<number>k`` is replaced
-    in place by ``int(number * 1000)``; the first two numbers are the bounds;
-    EUR is converted; out-of-range bounds make the pay unknown.
-    """
-    lowered = F.lower(pay)
-    is_sentinel = pay.isNull() | lowered.isin(list(sentinels))
-
-    s = lowered
+# The pay parser is split into steps over prepared columns; ``to_silver``
+# projects each step once (a multiply-used regex result is never inlined
+# twice), ``pay_struct`` chains them for standalone use.
+def pay_is_sentinel(pay: Column, sentinels=L.PAY_SENTINELS) -> Column:
+    """NULL, or an exact (lower-cased, untrimmed) match of a sentinel word."""
+    return pay.isNull() | F.lower(pay).isin(list(sentinels))
+
+
+def pay_key(pay: Column) -> Column:
+    """Lower-cased, spaces and U+202F removed, ``,`` -> ``.``."""
+    s = F.lower(pay)
     for token in L.PAY_DELETE_FIRST:
         s = F.replace(s, F.lit(token), F.lit(""))
-    s = F.replace(s, F.lit(","), F.lit("."))
-    is_eur = contains_any(s, L.PAY_CURRENCY_MARKERS_EUR)
+    return F.replace(s, F.lit(","), F.lit("."))
+
+
+def pay_is_eur(key: Column) -> Column:
+    return contains_any(key, L.PAY_CURRENCY_MARKERS_EUR)
+
+
+def pay_strip_units(key: Column) -> Column:
+    s = key
     for token in L.PAY_UNIT_TOKENS:
         s = F.replace(s, F.lit(token), F.lit(""))
+    return s
 
-    # In-place K expansion: pieces between K-numbers, interleaved with the
-    # expanded numbers (same left-to-right match sequence as a regex sub).
-    pieces = F.split(s, L.PAY_K_PATTERN, -1)
-    knums = F.regexp_extract_all(s, F.lit(L.PAY_K_PATTERN), F.lit(1))
-    expanded = F.array_join(
+
+def pay_expand_k(text: Column) -> Column:
+    """Every ``<number>k`` replaced in place by ``int(number * 1000)``: the
+    pieces between K-numbers interleaved with the expanded numbers (same
+    left-to-right match sequence as a regex substitution)."""
+    pieces = F.split(text, L.PAY_K_PATTERN, -1)
+    knums = F.regexp_extract_all(text, F.lit(L.PAY_K_PATTERN), F.lit(1))
+    return F.array_join(
         F.transform(
             pieces,
             lambda piece, i: F.concat(
@@ -66,54 +79,73 @@ def pay_struct(
         "",
     )
 
-    numbers = F.transform(
+
+def pay_numbers(expanded: Column, is_eur: Column, eur_rate: float = L.EUR_TO_MAD) -> Column:
+    """First two numbers of the text, in MAD."""
+    return F.transform(
         F.slice(F.regexp_extract_all(expanded, F.lit(L.PAY_NUMBER_PATTERN), F.lit(0)), 1, 2),
         lambda n: F.when(is_eur, n.cast("double") * F.lit(eur_rate)).otherwise(n.cast("double")),
     )
-    lo = F.array_min(numbers)
-    hi = F.array_max(numbers)
-    known = (~is_sentinel) & (F.size(numbers) > 0) & (lo >= F.lit(low)) & (hi <= F.lit(high))
-    known = F.coalesce(known, F.lit(False))
+
+
+def pay_known(numbers: Column, is_sentinel: Column, low: float = L.PAY_MIN_PLAUSIBLE,
+              high: float = L.PAY_MAX_PLAUSIBLE) -> Column:
+    known = ((~is_sentinel) & (F.size(numbers) > 0)
+             & (F.array_min(numbers) >= F.lit(low)) & (F.array_max(numbers) <= F.lit(high)))
+    return F.coalesce(known, F.lit(False))
+
+
+def pay_struct(pay: Column, eur_rate: float = L.EUR_TO_MAD, low: float = L.PAY_MIN_PLAUSIBLE,
+               high: float = L.PAY_MAX_PLAUSIBLE) -> Column:
+    """Pay text -> struct(min, max, known) in MAD (standalone form)."""
+    key = pay_key(pay)
+    numbers = pay_numbers(pay_expand_k(pay_strip_units(key)), pay_is_eur(key), eur_rate)
+    known = pay_known(numbers, pay_is_sentinel(pay), low, high)
     return F.struct(
-        F.when(known, lo).alias("salaire_min_mad"),
-        F.when(known, hi).alias("salaire_max_mad"),
+        F.when(known, F.array_min(numbers)).alias("salaire_min_mad"),
+        F.when(known, F.array_max(numbers)).alias("salaire_max_mad"),
         known.alias("salaire_connu"),
     )
 
 
 # ---------------------------------------------------------------- N6 experience
-def experience_struct(exp: Column) -> Column:
-    """Experience text -> struct(min years, max years); keyword tests first,
-    then ``a-b`` ranges, then ``n+ / n ans / n years``."""
-    s = F.lower(py_strip(exp))
-    rng1 = F.regexp_extract(s, L.EXPERIENCE_RANGE, 1)
-    rng2 = F.regexp_extract(s, L.EXPERIENCE_RANGE, 2)
-    one = F.regexp_extract(s, L.EXPERIENCE_MIN_ONLY, 1)
-    has_rng = s.rlike(L.EXPERIENCE_RANGE)
-    has_one = s.rlike(L.EXPERIENCE_MIN_ONLY)
-
-    lo = None
-    hi = None
+def experience_key(exp: Column) -> Column:
+    return F.lower(py_strip(exp))
+
+
+def experience_bounds(key: Column) -> Column:
+    """Prepared experience text -> struct(min years, max years); keyword
+    tests first, then ``a-b`` ranges, then ``n+ / n ans / n years``."""
+    rng1 = F.regexp_extract(key, L.EXPERIENCE_RANGE, 1)
+    rng2 = F.regexp_extract(key, L.EXPERIENCE_RANGE, 2)
+    one = F.regexp_extract(key, L.EXPERIENCE_MIN_ONLY, 1)
+    has_rng = key.rlike(L.EXPERIENCE_RANGE)
+    has_one = key.rlike(L.EXPERIENCE_MIN_ONLY)
+    lo = F.when(key.isNull(), F.lit(None).cast("int"))
+    hi = F.when(key.isNull(), F.lit(None).cast("int"))
     for needles, kmin, kmax in L.EXPERIENCE_KEYWORDS:
-        cond = contains_any(s, needles)
-        lo = F.when(cond, F.lit(kmin)) if lo is None else lo.when(cond, F.lit(kmin))
-        hi = F.when(cond, F.lit(kmax).cast("int")) if hi is None else hi.when(cond, F.lit(kmax).cast("int"))
-    lo = lo.when(has_rng, rng1.try_cast("int"))
-    hi = hi.when(has_rng, rng2.try_cast("int"))
-    lo = lo.when(has_one, one.try_cast("int"))
-    hi = hi.when(has_one, F.lit(None).cast("int"))
-    return F.struct(
-        F.when(exp.isNotNull(), lo).cast("int").alias("experience_min_ans"),
-        F.when(exp.isNotNull(), hi).cast("int").alias("experience_max_ans"),
-    )
+        cond = contains_any(key, needles)
+        lo = lo.when(cond, F.lit(kmin))
+        hi = hi.when(cond, F.lit(kmax).cast("int"))
+    lo = lo.when(has_rng, rng1.try_cast("int")).when(has_one, one.try_cast("int"))
+    hi = hi.when(has_rng, rng2.try_cast("int")).when(has_one, F.lit(None).cast("int"))
+    return F.struct(lo.cast("int").alias("experience_min_ans"), hi.cast("int").alias("experience_max_ans"))
+
+
+def experience_struct(exp: Column) -> Column:
+    return experience_bounds(experience_key(exp))
 
 
 # ---------------------------------------------------------------- N7-N8 city
-def city_struct(city: Column, rules=L.CITY_RULES, regions=L.REGIONS, unknown=L.CITY_UNKNOWN) -> Column:
-    """City text -> struct(canonical city, region); first rule wins; an
-    unrecognised name is kept, stripped and title-cased, with region unknown."""
-    stripped = py_strip(city)
-    matched = RuleSet(rules, policy="first", default=None, ignore_case=True).label(F.lower(stripped))
+def city_match(city_lower: Column, rules=L.CITY_RULES) -> Column:
+    """Canonical city of the first matching rule, else NULL."""
+    return RuleSet(rules, policy="first", default=None, ignore_case=True).label(city_lower)
+
+
+def city_region(city: Column, stripped: Column, matched: Column, regions=L.REGIONS,
+                unknown=L.CITY_UNKNOWN) -> Column:
+    """struct(canonical city, region) from the raw text, its stripped form and
+    the rule match; an unrecognised name is kept, title-cased, region unknown."""
     empty = city.isNull() | (city == F.lit(""))
     ville = F.when(empty, F.lit(unknown)).otherwise(F.coalesce(matched, py_title(stripped)))
     region_map = F.create_map(*[F.lit(x) for kv in regions.items() for x in kv])
@@ -123,10 +155,16 @@ def city_struct(city: Column, rules=L.CITY_RULES, regions=L.REGIONS, unknown=L.C
     return F.struct(ville.alias("ville_std"), region.alias("region_admin"))
 
 
+def city_struct(city: Column, rules=L.CITY_RULES, regions=L.REGIONS, unknown=L.CITY_UNKNOWN) -> Column:
+    """City text -> struct(canonical city, region) (standalone form)."""
+    stripped = py_strip(city)
+    return city_region(city, stripped, city_match(F.lower(stripped), rules), regions, unknown)
+
+
 # ---------------------------------------------------------------- N9 contract
 def contract_type(contract: Column, rules=L.CONTRACT_RULES, default=L.CONTRACT_DEFAULT) -> Column:
     """Contract text -> one of CDI / CDD / Freelance / Stage / Alternance."""
-    s = F.lower(py_strip(contract))
+    s = F.lower(contract)   # substring tests: outer whitespace cannot change a hit
     expr = F.when(contract.isNull() | (contract == F.lit("")), F.lit(default))
     for needles, label in rules:
         expr = expr.when(contains_any(s, needles), F.lit(label))

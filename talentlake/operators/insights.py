@@ -280,31 +280,37 @@ def pay_box_stats(silver: DataFrame, profiles=L.BOX_PROFILES, pay_range=L.BOX_PA
     profiles with ``min_values`` values in ``pay_range``. Also the median of
     the reference profile over all its known pay values.
 
-    Two passes over silver: quartiles (partial aggregation), then fences
-    joined back by profile (the stats side has one row per profile)."""
+    Silver is reduced once to (profile, pay value, count) with map-side
+    partial aggregation: the rows of a hot profile collapse to its distinct
+    pay values before the shuffle. Quartiles (``percentile`` with a
+    frequency), fences and whiskers are all computed from that one reduced
+    table, so its shuffle is reused by every branch."""
     lo, hi = pay_range
     known = silver.filter(F.col("salaire_connu") & F.col("salaire_median_mad").isNotNull()
                           & (F.col("salaire_median_mad") != 0))
-    vals = known.filter(F.col("profil_normalise").isin(list(profiles)) & F.col("salaire_median_mad").between(lo, hi)) \
-        .select(F.col("profil_normalise").alias("profil"), F.col("salaire_median_mad").alias("v"))
+    counted = known.groupBy(F.col("profil_normalise").alias("profil"), F.col("salaire_median_mad").alias("v")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    vals = counted.filter(F.col("profil").isin(list(profiles)) & F.col("v").between(lo, hi))
     stats = vals.groupBy("profil").agg(
-        F.count(F.lit(1)).alias("nb_valeurs"),
-        F.percentile("v", 0.25).alias("q1"),
-        F.median("v").alias("mediane"),
-        F.percentile("v", 0.75).alias("q3"),
+        F.sum("n").alias("nb_valeurs"),
+        F.percentile("v", 0.25, F.col("n")).alias("q1"),
+        F.percentile("v", 0.5, F.col("n")).alias("mediane"),
+        F.percentile("v", 0.75, F.col("n")).alias("q3"),
     ).filter(F.col("nb_valeurs") >= min_values)
     fenced = stats.select(
         "*",
         (F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))).alias("_lo"),
         (F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))).alias("_hi"),
     )
+    # one row per profile of the fixed ``profiles`` list: a proven-small side
     whiskers = vals.join(F.broadcast(fenced.select("profil", "_lo", "_hi")), "profil").groupBy("profil").agg(
         F.min(F.when(F.col("v") >= F.col("_lo"), F.col("v"))).alias("moustache_basse"),
         F.max(F.when(F.col("v") <= F.col("_hi"), F.col("v"))).alias("moustache_haute"),
-        F.count_if((F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi"))).alias("nb_valeurs_extremes"),
+        F.sum(F.when((F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi")), F.col("n")).otherwise(F.lit(0)))
+        .alias("nb_valeurs_extremes"),
     )
-    ref_median = known.filter(F.col("profil_normalise") == F.lit(reference_profile)) \
-        .select(F.median("salaire_median_mad")).scalar()
+    ref_median = counted.filter(F.col("profil") == F.lit(reference_profile)) \
+        .select(F.percentile("v", 0.5, F.col("n"))).scalar()
     return (
         fenced.join(whiskers, "profil")
         .select(

@@ -13,43 +13,68 @@ from pyspark.sql import functions as F
 from talentlake import lexicons as L
 from talentlake.functions import normalize as N
 from talentlake.functions.stats import pct_of
+from talentlake.functions.text import py_strip
 from talentlake.schema import RAW_COLUMNS
 
 
 def to_silver(raw: DataFrame, keep_language_list: bool = True) -> DataFrame:
     """Add the 15 derived columns (profile, pay, experience, city, region,
     contract, dates) to raw listings. ``langue_requise`` stays an array and a
-    joined text copy ``langue_requise_txt`` is added."""
-    pay = N.pay_struct(F.col("salaire_brut"))
-    exp = N.experience_struct(F.col("experience_requise"))
-    city = N.city_struct(F.col("ville"))
-    dates = N.dates_struct(F.col("date_publication"), F.col("date_expiration"))
-    staged = raw.select(
-        *[F.col(c) for c in RAW_COLUMNS],
-        N.title_profile(F.col("titre_poste")).alias("profil_normalise"),
-        pay.alias("_pay"),
-        exp.alias("_exp"),
-        city.alias("_city"),
-        N.contract_type(F.col("type_contrat")).alias("type_contrat_std"),
-        dates.alias("_dates"),
+    joined text copy ``langue_requise_txt`` is added.
+
+    Built as successive projections: a prepared text used by several regex
+    tests is one column of an earlier projection, so it is computed once per
+    row (Catalyst does not inline a non-trivial expression into several
+    consumers); all projections still fuse into one codegen stage."""
+    raw_cols = [F.col(c) for c in RAW_COLUMNS]
+    s1 = raw.select(
+        *raw_cols,
+        N.title_key(F.col("titre_poste")).alias("_t"),
+        N.pay_key(F.col("salaire_brut")).alias("_p1"),
+        N.pay_is_sentinel(F.col("salaire_brut")).alias("_psent"),
+        N.experience_key(F.col("experience_requise")).alias("_e"),
+        py_strip(F.col("ville")).alias("_cs"),
+        N.parse_day(F.col("date_publication")).alias("_dp"),
+        N.parse_day(F.col("date_expiration")).alias("_de"),
     )
-    out = staged.select(
-        *[F.col(c) for c in RAW_COLUMNS],
-        "profil_normalise",
-        "_pay.salaire_min_mad",
-        "_pay.salaire_max_mad",
-        "_pay.salaire_connu",
-        ((F.col("_pay.salaire_min_mad") + F.col("_pay.salaire_max_mad")) / F.lit(2.0)).alias("salaire_median_mad"),
-        "_exp.experience_min_ans",
-        "_exp.experience_max_ans",
-        "_city.ville_std",
-        "_city.region_admin",
-        "type_contrat_std",
-        "_dates.date_publication_std",
-        "_dates.date_expiration_std",
-        "_dates.annee",
-        "_dates.mois",
-        "_dates.date_coherente",
+    s2 = s1.select(
+        "*",
+        N.pay_is_eur(F.col("_p1")).alias("_eur"),
+        N.pay_strip_units(F.col("_p1")).alias("_p2"),
+        F.lower(F.col("_cs")).alias("_c"),
+    )
+    s3 = s2.select("*", N.pay_expand_k(F.col("_p2")).alias("_p3"))
+    s4 = s3.select("*", N.pay_numbers(F.col("_p3"), F.col("_eur")).alias("_nums"))
+    s5 = s4.select(
+        "*",
+        N.pay_known(F.col("_nums"), F.col("_psent")).alias("_known"),
+        N.city_match(F.col("_c")).alias("_cm"),
+        N.experience_bounds(F.col("_e")).alias("_exp"),
+    )
+    s6 = s5.select(
+        "*",
+        F.when(F.col("_known"), F.array_min("_nums")).alias("_lo"),
+        F.when(F.col("_known"), F.array_max("_nums")).alias("_hi"),
+        N.city_region(F.col("ville"), F.col("_cs"), F.col("_cm")).alias("_city"),
+    )
+    dp, de = F.col("_dp"), F.col("_de")
+    out = s6.select(
+        *raw_cols,
+        N.profile_of(F.col("_t")).alias("profil_normalise"),
+        F.col("_lo").alias("salaire_min_mad"),
+        F.col("_hi").alias("salaire_max_mad"),
+        F.col("_known").alias("salaire_connu"),
+        ((F.col("_lo") + F.col("_hi")) / F.lit(2.0)).alias("salaire_median_mad"),
+        F.col("_exp.experience_min_ans").alias("experience_min_ans"),
+        F.col("_exp.experience_max_ans").alias("experience_max_ans"),
+        F.col("_city.ville_std").alias("ville_std"),
+        F.col("_city.region_admin").alias("region_admin"),
+        N.contract_type(F.col("type_contrat")).alias("type_contrat_std"),
+        F.date_format(dp, "yyyy-MM-dd").alias("date_publication_std"),
+        F.date_format(de, "yyyy-MM-dd").alias("date_expiration_std"),
+        F.year(dp).cast("string").alias("annee"),
+        F.lpad(F.month(dp).cast("string"), 2, "0").alias("mois"),
+        F.coalesce(~(de <= dp), F.lit(True)).alias("date_coherente"),
     )
     if keep_language_list:
         out = out.withColumn("langue_requise_txt", N.join_list(F.col("langue_requise")))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talentlake import lexicons as L
-from talentlake.functions.text import whole_word_any
+from talentlake.functions.text import contains_any, whole_word_any
 
 DEFAULT_DICTIONARY = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "skills_dictionary.json")
 
@@ -77,9 +77,14 @@ def skill_text(skills_col: Column, description_col: Column) -> Column:
 
 
 def matched_skills(text: Column, dictionary: Dictionary) -> Column:
-    """array<struct<competence, famille>> of the skills found in ``text``."""
+    """array<struct<competence, famille>> of the skills found in ``text``.
+
+    Pass a column reference (prepared text), not an expression: the text is
+    read once per skill. A byte-level substring test on the aliases guards
+    each regex, so the boundary regex only runs when an alias occurs."""
     slots = [
-        F.when(text.rlike(whole_word_any(aliases)), F.struct(F.lit(skill).alias("competence"), F.lit(fam).alias("famille")))
+        F.when(contains_any(text, aliases) & text.rlike(whole_word_any(aliases)),
+               F.struct(F.lit(skill).alias("competence"), F.lit(fam).alias("famille")))
         for fam, skill, aliases in dictionary
     ]
     if not slots:
@@ -92,12 +97,10 @@ def extract_skills(silver: DataFrame, dictionary: Dictionary | None = None) -> D
     """Silver listings -> one row per (listing, skill); a sentinel row
     (``non_détecté`` / ``inconnu``) for listings with no skill found."""
     dictionary = dictionary if dictionary is not None else load_dictionary()
-    text = skill_text(F.col("competences_brut"), F.col("description"))
-    found = silver.select(
-        "id_offre", "profil_normalise", "ville_std", "date_publication", "annee", "mois",
-        "type_contrat_std", "salaire_connu",
-        matched_skills(text, dictionary).alias("_skills"),
-    )
+    keys = ["id_offre", "profil_normalise", "ville_std", "date_publication", "annee", "mois",
+            "type_contrat_std", "salaire_connu"]
+    prepared = silver.select(*keys, skill_text(F.col("competences_brut"), F.col("description")).alias("_txt"))
+    found = prepared.select(*keys, matched_skills(F.col("_txt"), dictionary).alias("_skills"))
     exploded = found.select("*", F.explode_outer("_skills").alias("_s"))
     return exploded.select(
         "id_offre",
@@ -151,7 +154,8 @@ def document_terms(docs: DataFrame, dictionary: Dictionary, id_col: str = "doc_i
     """Whole-word term search over arbitrary documents: number of documents
     mentioning each (family, term). The whole text of every document is
     searched; the count is a partial+final aggregation (no skew hot spot)."""
-    found = docs.select(id_col, F.explode(matched_skills(F.lower(F.col(text_col)), dictionary)).alias("_s"))
+    prepared = docs.select(id_col, F.lower(F.col(text_col)).alias("_txt"))
+    found = prepared.select(id_col, F.explode(matched_skills(F.col("_txt"), dictionary)).alias("_s"))
     return (
         found.groupBy(F.col("_s.famille").alias("famille"), F.col("_s.competence").alias("competence"))
         .agg(F.countDistinct(id_col).alias("nb_documents"))

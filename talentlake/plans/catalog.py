@@ -24,7 +24,8 @@ from talentlake.plans import oracle as O
 from talentlake.plans.oracle import lst, pct, q, rhu
 from talentlake.schema import RAW_COLUMNS, SKILL_COLUMNS
 from talentlake.sources import bronze as B
-from talentlake.sources.listings import listings_from_tables, read_table
+from talentlake.session import materialize
+from talentlake.sources.listings import listings_from_tables, read_table, spread
 
 # Month window used by the registered V4 query (the test tables span 1995-2001).
 V4_MONTH_FROM = "1996"
@@ -46,29 +47,35 @@ def silver(spark, sf):
     return to_silver(raw(spark, sf))
 
 
+def silver_once(spark, sf):
+    """Silver computed once and written to the shared folder (for plans that
+    read it in several branches or filter on its derived columns)."""
+    return materialize(silver(spark, sf))
+
+
 def skills(spark, sf):
     return extract_skills(silver(spark, sf))
 
 
 def gold_top(spark, sf):
-    s = silver(spark, sf)
+    s = silver_once(spark, sf)
     return G.top_skills(extract_skills(s), s)
 
 
 def gold_pay(spark, sf):
-    return G.pay_by_profile(silver(spark, sf))
+    return G.pay_by_profile(silver_once(spark, sf))
 
 
 def gold_city(spark, sf):
-    return G.listings_by_city_month(silver(spark, sf))
+    return G.listings_by_city_month(silver_once(spark, sf))
 
 
 def gold_rec(spark, sf):
-    return G.top_recruiters(silver(spark, sf))
+    return G.top_recruiters(silver_once(spark, sf))
 
 
 def gold_trends(spark, sf):
-    return G.monthly_trends(silver(spark, sf))
+    return G.monthly_trends(silver_once(spark, sf))
 
 
 def _bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,7 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "skills_long": lambda s, d: skills(s, d).select(*SKILL_COLUMNS),
     "skills_coverage": lambda s, d: extraction_report(skills(s, d)),
     "skills_by_family": lambda s, d: mentions_by_family(skills(s, d)),
-    "doc_terms": lambda s, d: document_terms(read_table(s, d, "documents"), dictionary_from_terms(L.DOCUMENT_TERMS)),
+    "doc_terms": lambda s, d: document_terms(spread(read_table(s, d, "documents").select("doc_id", "text"), "doc_id"),
+                                             dictionary_from_terms(L.DOCUMENT_TERMS)),
     "gold_top_skills": gold_top,
     "gold_pay": gold_pay,
     "gold_city_month": gold_city,
@@ -116,14 +124,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q3_national": lambda s, d: I.national_pay(gold_pay(s, d)),
     "q3_national_median": lambda s, d: I.national_pay_median_of_medians(gold_pay(s, d)),
     "q3_city_gap": lambda s, d: I.city_pay_gap(gold_pay(s, d)),
-    "q4_bands": lambda s, d: I.pay_by_experience_band(silver(s, d)),
-    "q4_correlation": lambda s, d: I.experience_pay_correlation(silver(s, d)),
-    "q4_correlation_grouped": lambda s, d: I.experience_pay_correlation_grouped(silver(s, d)),
+    "q4_bands": lambda s, d: I.pay_by_experience_band(silver_once(s, d)),
+    "q4_correlation": lambda s, d: I.experience_pay_correlation(silver_once(s, d)),
+    "q4_correlation_grouped": lambda s, d: I.experience_pay_correlation_grouped(silver_once(s, d)),
     "q5_rank": lambda s, d: I.recruiter_rank(gold_rec(s, d)),
     "q5_competition": lambda s, d: I.city_competitors(gold_rec(s, d)),
     "v1_city_bubbles": lambda s, d: I.city_bubbles(gold_city(s, d)),
     "v2_top15": lambda s, d: I.top_skills_chart(gold_top(s, d)),
-    "v3_box": lambda s, d: I.pay_box_stats(silver(s, d)),
+    "v3_box": lambda s, d: I.pay_box_stats(silver_once(s, d)),
     "v4_month_pivot": lambda s, d: I.monthly_profile_pivot(gold_trends(s, d), month_from=V4_MONTH_FROM,
                                                           month_to=V4_MONTH_TO),
 }

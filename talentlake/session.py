@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults sized for the cluster: AQE re-plans joins and coalesces or splits
 # shuffle partitions at runtime from measured sizes.
@@ -22,6 +23,12 @@ CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    # The silver table is a chain of projections over large CASE/regex
+    # expressions; inferring constraints through it costs optimizer time
+    # and buys nothing (no join keys there).
+    "spark.sql.constraintPropagation.enabled": "false",
+    # Checkpoint files of a DataFrame are removed once it is unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -29,6 +36,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
                   extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
+    if master.startswith("local"):
+        builder = builder.config("spark.driver.memory", "8g")   # local mode: the driver JVM runs every task
     for k, v in CLUSTER_DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
@@ -75,3 +84,21 @@ def lake_root(spark: SparkSession) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "lake") if "://" not in base else base + "/lake"
+
+
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Compute ``df`` once and cut its lineage: write it as a Parquet table in
+    the shared folder (``path`` or a fresh sub-folder) and read it back.
+
+    Used where one derived table feeds several branches of a plan, and where
+    filters on derived columns would otherwise be pushed into the parsing
+    chain: on the written table they become Parquet predicate pushdown and
+    column pruning instead. The write goes through the commit protocol, so a
+    lost executor only re-runs its own task. (A reliable RDD checkpoint would
+    compute the plan twice unless also persisted, and stores rows, not
+    columns.)"""
+    spark = df.sparkSession
+    if path is None:
+        path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -1,0 +1,45 @@
+"""Incremental bronze landing with Structured Streaming.
+
+Same operator as the batch bronze write (raw listings kept untouched,
+partitioned by source and publication month), for listing files that
+keep arriving in a landing folder. The file source tracks which files
+were already landed in its checkpoint; the file sink commits each
+micro-batch atomically (``_spark_metadata``), so a restarted job neither
+loses nor duplicates listings. There is no state and no watermark: the
+operator is stateless row landing.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from talentlake import lexicons as L
+from talentlake.schema import BRONZE_PARTITION_COLUMNS, RAW_COLUMNS, RAW_LISTING
+from talentlake.sources.bronze import month_key, source_key
+
+
+def start_bronze_stream(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
+                        max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Land JSON-lines listing files from ``landing_dir`` into ``bronze_dir``."""
+    reader = spark.readStream.schema(RAW_LISTING)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    listings = reader.json(landing_dir)
+    keyed = listings.select(
+        *[F.col(c) for c in RAW_COLUMNS],
+        F.col("_metadata.file_path").alias("source_fichier"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("date_ingestion"),
+        F.lit(L.BRONZE_SCHEMA_VERSION).alias("schema_version"),
+        source_key(F.col("source")).alias("source_key"),
+        month_key(F.col("date_publication")).alias("month_key"),
+    )
+    writer = (
+        keyed.writeStream.format("json")
+        .partitionBy(*BRONZE_PARTITION_COLUMNS)
+        .option("checkpointLocation", checkpoint_dir)
+        .outputMode("append")
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start(bronze_dir)
