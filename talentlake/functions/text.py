@@ -84,3 +84,36 @@ def python_regex_ok(pattern: str) -> str:
     """Validate a Python pattern early (fail at plan-build time, not in tasks)."""
     re.compile(pattern)
     return pattern
+
+
+def truncate_text(col: Column, width: int = 50, mark: str = "...") -> Column:
+    """Text longer than ``width`` characters -> first ``width`` + ``mark``."""
+    return F.when(F.length(col) > width, F.concat(F.substring(col, 1, width), F.lit(mark))).otherwise(col)
+
+
+def signed_thousands(col: Column) -> Column:
+    """Signed number with thousands separators and no decimals (``+1,500`` /
+    ``-250``); NULL stays NULL."""
+    rounded = F.floor(col.cast("double") + F.lit(0.5))
+    text = F.format_number(F.abs(rounded), 0)
+    return F.when(col.isNull(), F.lit(None)).when(rounded >= 0, F.concat(F.lit("+"), text)) \
+        .otherwise(F.concat(F.lit("-"), text))
+
+
+def percent_text(part: Column, whole: Column) -> Column:
+    """``round(part * 100 / whole)`` as ``"NN%"``; ``N/A`` when ``whole`` is 0."""
+    pct = F.floor(part.cast("double") * F.lit(100.0) / whole.cast("double") + F.lit(0.5)).cast("bigint")
+    return F.when(whole > 0, F.concat(pct.cast("string"), F.lit("%"))).otherwise(F.lit("N/A"))
+
+
+def chart_label(col: Column, replacements=(("Développeur ", "Dev. "), ("Chef de Projet IT", "Chef Proj. IT"))) -> Column:
+    """Short chart label: literal replacements applied in order."""
+    out = col
+    for old, new in replacements:
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return out
+
+
+def family_label(col: Column) -> Column:
+    """``data_engineering`` -> ``Data Engineering``."""
+    return F.initcap(F.replace(col, F.lit("_"), F.lit(" ")))

@@ -117,6 +117,10 @@ EXPERIENCE_BANDS: list[str] = ["0 — Débutant", "1-2 ans", "3-4 ans", "5-7 ans
 EXPERIENCE_BAND_UNKNOWN = "Non précisé"
 COMPETITION_LEVELS: list[tuple[float, str]] = [(20000.0, "Compétiteur fort"), (12000.0, "Compétiteur moyen")]
 COMPETITION_DEFAULT = "Compétiteur faible / non défini"
+COMPETITION_DEFAULT_SCRIPT = "Compétiteur faible"
+PIVOT_CITIES: list[str] = ["Casablanca", "Rabat", "Tanger"]
+TRUNCATE_AT = 50
+TRUNCATE_MARK = "..."
 BOX_PROFILES: list[str] = [
     "Data Scientist", "Cloud Engineer", "Data Engineer", "DevOps / SRE", "Chef de Projet IT",
     "Data Analyst", "Développeur Full Stack", "Développeur Backend", "Développeur Frontend",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from talentlake import lexicons as L
 from talentlake.functions.normalize import competition_level, experience_band
 from talentlake.functions.stats import pct_of, pearson
-from talentlake.functions.text import round_half_up
+from talentlake.functions.text import contains_any, round_half_up, truncate_text
 
 
 # ------------------------------------------------------------------ Q1
@@ -214,16 +214,23 @@ def experience_pay_correlation_grouped(silver: DataFrame, profiles=L.DATA_PROFIL
 
 
 # ------------------------------------------------------------------ Q5
-def recruiter_rank(recruiters: DataFrame, n: int = 20) -> DataFrame:
-    """The ``n`` largest recruiters with their RANK. Rank is computed
-    after the top-n cut: every row above a kept row is kept, so ranks are
-    unchanged and the window sees only ``n`` rows."""
-    top = recruiters.orderBy(F.desc("nb_offres_publiees"), "entreprise", "ville").limit(n)
-    w = Window.orderBy(F.desc("nb_offres_publiees"))
+def recruiter_rank(recruiters: DataFrame, n: int = 20, method: str = "rank") -> DataFrame:
+    """The ``n`` largest recruiters with their RANK (``method="rank"``)
+    or their position 1..n (``"row_number"``, ties by company, city). The
+    rank is computed after the top-n cut: every row above a kept row is
+    kept, so ranks are unchanged and the window sees only ``n`` rows."""
+    order = [F.desc("nb_offres_publiees"), F.asc("entreprise"), F.asc("ville")]
+    top = recruiters.orderBy(*order).limit(n)
+    if method == "rank":
+        pos = F.rank().over(Window.orderBy(F.desc("nb_offres_publiees")))
+    elif method == "row_number":
+        pos = F.row_number().over(Window.orderBy(*order))
+    else:
+        raise ValueError("method must be 'rank' or 'row_number'")
     return top.select(
         "entreprise", "ville", "nb_offres_publiees", "nb_profils_differents",
         round_half_up(F.col("salaire_moyen_propose"), 0).alias("salaire_moyen_propose"),
-        F.rank().over(w).cast("bigint").alias("rang_recruteur"),
+        pos.cast("bigint").alias("rang_recruteur"),
     )
 
 
@@ -242,6 +249,54 @@ def city_competitors(recruiters: DataFrame, city: str = "Tanger", n: int = 15) -
     )
 
 
+def city_competitors_with_profiles(recruiters: DataFrame, city: str = "Tanger", profiles=L.DATA_PROFILES,
+                                   width: int = L.TRUNCATE_AT) -> DataFrame:
+    """Q5b, script form: recruiters of one city whose recruited-profile list
+    names a data profile; unknown pay counts as 0; profile list truncated to
+    ``width`` characters; highest pay first."""
+    profs = F.coalesce(F.col("profils_recrutes"), F.lit(""))
+    pay = F.coalesce(F.col("salaire_moyen_propose"), F.lit(0.0))
+    levels = F.when(pay > F.lit(L.COMPETITION_LEVELS[0][0]), F.lit(L.COMPETITION_LEVELS[0][1])) \
+        .when(pay > F.lit(L.COMPETITION_LEVELS[1][0]), F.lit(L.COMPETITION_LEVELS[1][1])) \
+        .otherwise(F.lit(L.COMPETITION_DEFAULT_SCRIPT))
+    return (
+        recruiters.filter((F.col("ville") == F.lit(city)) & contains_any(profs, list(profiles)))
+        .select(
+            "entreprise",
+            F.col("nb_offres_publiees").alias("nb_offres"),
+            pay.alias("salaire_moyen"),
+            truncate_text(profs, width).alias("profils"),
+            levels.alias("niveau_competition"),
+        )
+        .orderBy(F.desc("salaire_moyen"), "entreprise")
+    )
+
+
+# ------------------------------------------------------------------ Q2 (script form)
+def city_pivot(city_month: DataFrame, profiles=L.CITY_COMPARISON_PROFILES, cities=L.PIVOT_CITIES,
+               city: str = "Tanger", reference_city: str = "Casablanca") -> DataFrame:
+    """Q2b, script form: one row per profile of a fixed list, listings per
+    city as columns (0 when none), remote listings of ``city`` and the
+    ratio ``city`` / ``reference_city`` in % (0 when the reference is 0)."""
+    rows = city_month.filter(F.col("profil").isin(list(profiles)) & F.col("ville").isin(list(cities)))
+    agg = rows.groupBy("profil").pivot("ville", list(cities)).agg(F.sum("nb_offres"))
+    remote = rows.filter(F.col("ville") == F.lit(city)).groupBy("profil") \
+        .agg(F.sum("nb_offres_remote").alias("_remote"))
+    grid = city_month.sparkSession.range(1).select(F.explode(F.array(*[F.lit(p) for p in profiles])).alias("profil"))
+    counts = {c: F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint") for c in cities}
+    ratio = F.when(counts[reference_city] > 0,
+                   round_half_up(counts[city].cast("double") * F.lit(100.0) / counts[reference_city].cast("double"), 1)) \
+        .otherwise(F.lit(0.0))
+    return (
+        grid.join(agg, "profil", "left").join(remote, "profil", "left")
+        .select(
+            "profil", *[counts[c].alias(c) for c in cities],
+            F.coalesce(F.col("_remote"), F.lit(0)).cast("bigint").alias(f"remote_{city}"),
+            ratio.alias(f"pct_{city}_vs_{reference_city}"),
+        )
+    )
+
+
 # ------------------------------------------------------------------ V1-V4
 def city_bubbles(city_month: DataFrame, coordinates=L.CITY_COORDINATES, scale=L.BUBBLE_SCALE) -> DataFrame:
     """V1: listings per city with coordinates and bubble size

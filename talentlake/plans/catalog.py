@@ -129,6 +129,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q4_correlation_grouped": lambda s, d: I.experience_pay_correlation_grouped(silver_once(s, d)),
     "q5_rank": lambda s, d: I.recruiter_rank(gold_rec(s, d)),
     "q5_competition": lambda s, d: I.city_competitors(gold_rec(s, d)),
+    "q5_competition_data": lambda s, d: I.city_competitors_with_profiles(gold_rec(s, d)),
+    "q5_rank_positions": lambda s, d: I.recruiter_rank(gold_rec(s, d), 20, method="row_number"),
+    "q2_city_pivot": lambda s, d: I.city_pivot(gold_city(s, d)),
     "v1_city_bubbles": lambda s, d: I.city_bubbles(gold_city(s, d)),
     "v2_top15": lambda s, d: I.top_skills_chart(gold_top(s, d)),
     "v3_box": lambda s, d: I.pay_box_stats(silver_once(s, d)),
@@ -445,6 +448,30 @@ FROM rows_ GROUP BY profil_normalise"""),
     CASE WHEN salaire_moyen_propose > 20000 THEN 'Compétiteur fort' WHEN salaire_moyen_propose > 12000 THEN 'Compétiteur moyen'
          ELSE {q(L.COMPETITION_DEFAULT)} END AS niveau_competition
   FROM (SELECT * FROM gold_rec WHERE ville = 'Tanger' ORDER BY nb_offres_publiees DESC, entreprise LIMIT 15) t"""),
+    "q5_competition_data": _gold(f"""SELECT entreprise, nb_offres_publiees AS nb_offres,
+    coalesce(salaire_moyen_propose, 0.0) AS salaire_moyen,
+    CASE WHEN length(coalesce(profils_recrutes, '')) > 50 THEN substring(coalesce(profils_recrutes, ''), 1, 50) || '...'
+         ELSE coalesce(profils_recrutes, '') END AS profils,
+    CASE WHEN coalesce(salaire_moyen_propose, 0.0) > 20000 THEN 'Compétiteur fort'
+         WHEN coalesce(salaire_moyen_propose, 0.0) > 12000 THEN 'Compétiteur moyen' ELSE 'Compétiteur faible' END AS niveau_competition
+  FROM gold_rec
+  WHERE ville = 'Tanger' AND ({' OR '.join(f"contains(coalesce(profils_recrutes, ''), {q(p)})" for p in L.DATA_PROFILES)})"""),
+    "q5_rank_positions": _gold(f"""SELECT entreprise, ville, nb_offres_publiees, nb_profils_differents,
+    {rhu('salaire_moyen_propose')} AS salaire_moyen_propose,
+    CAST(ROW_NUMBER() OVER (ORDER BY nb_offres_publiees DESC, entreprise, ville) AS BIGINT) AS rang_recruteur
+  FROM (SELECT * FROM gold_rec ORDER BY nb_offres_publiees DESC, entreprise, ville LIMIT 20) t"""),
+    "q2_city_pivot": _gold(f""",
+rows_ AS (SELECT * FROM gold_city WHERE profil IN {lst(L.CITY_COMPARISON_PROFILES)} AND ville IN {lst(L.PIVOT_CITIES)}),
+agg AS (SELECT profil,
+    {', '.join(f"CAST(coalesce(SUM(CASE WHEN ville = {q(c)} THEN nb_offres END), 0) AS BIGINT) AS {c}" for c in L.PIVOT_CITIES)},
+    CAST(coalesce(SUM(CASE WHEN ville = 'Tanger' THEN nb_offres_remote END), 0) AS BIGINT) AS remote_Tanger
+  FROM rows_ GROUP BY profil),
+grid AS (SELECT * FROM (VALUES {', '.join(f'({q(p)})' for p in L.CITY_COMPARISON_PROFILES)}) g(profil))
+SELECT g.profil, {', '.join(f'CAST(coalesce(a.{c}, 0) AS BIGINT) AS {c}' for c in L.PIVOT_CITIES)},
+  CAST(coalesce(a.remote_Tanger, 0) AS BIGINT) AS remote_Tanger,
+  CASE WHEN coalesce(a.Casablanca, 0) > 0 THEN {rhu('CAST(a.Tanger AS DOUBLE) * 100.0 / CAST(a.Casablanca AS DOUBLE)', 1)} ELSE 0.0 END
+    AS pct_Tanger_vs_Casablanca
+FROM grid g LEFT JOIN agg a USING (profil)"""),
     "v1_city_bubbles": _bubbles_sql(),
     "v2_top15": _gold(
         f"SELECT competence, nb_offres_mentionnent, famille FROM gold_top WHERE profil = {q(L.TOTAL_PROFILE_LABEL)} "

@@ -17,7 +17,7 @@ from talentlake.operators import gold as G
 from talentlake.operators.silver import to_silver
 from talentlake.operators.skills import Dictionary, extract_skills
 from talentlake.sources import bronze as B
-from talentlake.sources.files import read_table, write_table
+from talentlake.sources.files import export_json, read_table, write_table
 
 STAGES = ("bronze", "silver", "gold")
 GOLD_TABLES = ("top_competences", "salaires_par_profil", "offres_par_ville", "entreprises_recruteurs",
@@ -32,6 +32,10 @@ class LakePaths:
     def bronze(self) -> str:
         return f"{self.root}/bronze"
 
+    @property
+    def ingestion_report(self) -> str:
+        return f"{self.root}/bronze_report"
+
     @property
     def silver_listings(self) -> str:
         return f"{self.root}/silver/offres_clean"
@@ -45,7 +49,10 @@ class LakePaths:
 
 
 def run_bronze(raw: DataFrame, paths: LakePaths, source_file: str = "") -> None:
+    """Land the raw listings, then write this ingestion's report (rows per
+    source / month / partition / total; one aggregation over the input)."""
     B.write_bronze(raw, paths.bronze, source_file)
+    export_json(B.ingestion_report(B.with_partition_keys(raw)), paths.ingestion_report)
 
 
 def run_silver(spark: SparkSession, paths: LakePaths, dictionary: Dictionary | None = None) -> None:
@@ -88,3 +95,20 @@ def run(spark: SparkSession, raw: DataFrame | None, root: str, stages=STAGES, so
         else:
             raise ValueError(f"unknown stage {stage!r}; expected one of {STAGES}")
     return paths
+
+
+def analysis_bundle(silver: DataFrame, skills: DataFrame, city: str = "Tanger") -> dict[str, DataFrame]:
+    """The eight named analysis results (S14), computed from silver/skills."""
+    from talentlake.operators import insights as I
+
+    gold = build_gold(silver, skills)
+    return {
+        "q1_top_competences_global": I.top_skills_overall(gold["top_competences"], 20),
+        "q1_top_competences_data": I.top_skills_for_profiles(gold["top_competences"]),
+        "q2_villes_comparaison": I.city_pivot(gold["offres_par_ville"], city=city),
+        "q3_salaires_national": I.national_pay_median_of_medians(gold["salaires_par_profil"]),
+        "q3_salaires_ville": I.city_pay_gap(gold["salaires_par_profil"], city=city),
+        "q4_correlation_experience": I.pay_by_experience_band(silver),
+        "q5_top_recruteurs": I.recruiter_rank(gold["entreprises_recruteurs"], 20, method="row_number"),
+        "q5_concurrents_ville": I.city_competitors_with_profiles(gold["entreprises_recruteurs"], city=city),
+    }

@@ -28,3 +28,14 @@ def export_json(df: DataFrame, path: str, single_file: bool = True) -> None:
     coalesces to one task and is meant for report-sized outputs only."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").json(path)
+
+
+def export_bundle(results: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Write named, report-sized results as JSON folders under ``root``
+    (one folder per result); returns name -> path."""
+    paths = {}
+    for name, df in results.items():
+        path = f"{root.rstrip('/')}/{name}"
+        export_json(df, path)
+        paths[name] = path
+    return paths
