@@ -30,24 +30,34 @@ def top_skills(skills: DataFrame, silver: DataFrame | None = None, with_total_le
                total_label: str = L.TOTAL_PROFILE_LABEL) -> DataFrame:
     """G1: skills per profile -> distinct listings, share of ALL listings,
     rank inside the profile. With ``with_total_level`` an extra level
-    ``profil = 'tous'`` ranks the skills over all listings (grouping sets:
-    one Expand + one shuffle instead of two aggregations)."""
-    listings = silver if silver is not None else skills
-    total = listings.select(F.countDistinct("id_offre")).scalar()
-    found = skills.filter(F.col("competence") != F.lit(L.SKILL_SENTINEL))
+    ``profil = 'tous'`` ranks the skills over all listings.
+
+    One aggregation over the skills table with grouping sets
+    ((profile, family, skill), (family, skill), ()): the empty set counts
+    all distinct listings (every listing has at least one row, the sentinel
+    when no skill was found), so the share's denominator needs no second
+    scan. ``silver`` may be given to take the denominator from the listing
+    table instead."""
+    sets = [["profil", "famille", "competence"]]
     if with_total_level:
-        agg = found.groupingSets(
-            [["profil", "famille", "competence"], ["famille", "competence"]], "profil", "famille", "competence"
-        ).agg(F.countDistinct("id_offre").alias("nb_offres_mentionnent"), F.grouping("profil").alias("_all"))
-        agg = agg.select(
-            F.when(F.col("_all") == 1, F.lit(total_label)).otherwise(F.col("profil")).alias("profil"),
-            "famille", "competence", "nb_offres_mentionnent",
-        )
+        sets.append(["famille", "competence"])
+    if silver is None:
+        sets.append([])
+    agg = skills.groupingSets(sets, "profil", "famille", "competence").agg(
+        F.countDistinct("id_offre").alias("nb_offres_mentionnent"),
+        F.grouping("profil").alias("_gp"),
+        F.grouping("competence").alias("_gc"),
+    )
+    if silver is None:
+        total = agg.filter(F.col("_gc") == 1).select(F.max("nb_offres_mentionnent")).scalar()
     else:
-        agg = found.groupBy("profil", "famille", "competence").agg(
-            F.countDistinct("id_offre").alias("nb_offres_mentionnent"))
+        total = silver.select(F.countDistinct("id_offre")).scalar()
+    found = agg.filter((F.col("_gc") == 0) & (F.col("competence") != F.lit(L.SKILL_SENTINEL))).select(
+        F.when(F.col("_gp") == 1, F.lit(total_label)).otherwise(F.col("profil")).alias("profil"),
+        "famille", "competence", "nb_offres_mentionnent",
+    )
     w = Window.partitionBy("profil").orderBy(F.desc("nb_offres_mentionnent"))
-    return agg.select(
+    return found.select(
         "profil", "famille", "competence", "nb_offres_mentionnent",
         round_half_up(F.col("nb_offres_mentionnent").cast("double") * F.lit(100.0) / total.cast("double"), 2)
         .alias("pct_offres_total"),

@@ -64,7 +64,7 @@ def run_silver(spark: SparkSession, paths: LakePaths, dictionary: Dictionary | N
 
 def build_gold(silver: DataFrame, skills: DataFrame) -> dict[str, DataFrame]:
     return {
-        "top_competences": G.top_skills(skills, silver),
+        "top_competences": G.top_skills(skills),
         "salaires_par_profil": G.pay_by_profile(silver),
         "offres_par_ville": G.listings_by_city_month(silver),
         "entreprises_recruteurs": G.top_recruiters(silver),
