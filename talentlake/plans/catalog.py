@@ -47,10 +47,25 @@ def silver(spark, sf):
     return to_silver(raw(spark, sf))
 
 
-def silver_once(spark, sf):
-    """Silver computed once and written to the shared folder (for plans that
-    read it in several branches or filter on its derived columns)."""
-    return materialize(silver(spark, sf))
+# Silver columns each consumer reads; materializing only these lets Catalyst
+# prune the normalisers nobody uses before anything is computed or written.
+NEEDS = {
+    "pay": ["profil_normalise", "ville_std", "type_contrat_std", "salaire_connu", "salaire_median_mad",
+            "salaire_min_mad", "salaire_max_mad"],
+    "city": ["ville_std", "region_admin", "profil_normalise", "annee", "mois", "teletravail"],
+    "recruiters": ["entreprise", "ville_std", "profil_normalise", "salaire_connu", "salaire_median_mad",
+                   "date_publication_std"],
+    "trends": ["annee", "mois", "profil_normalise", "salaire_connu", "salaire_median_mad"],
+    "experience": ["profil_normalise", "salaire_connu", "salaire_median_mad", "experience_min_ans"],
+}
+
+
+def silver_once(spark, sf, need: str | None = None):
+    """Silver (only the columns of ``need``) computed once and written to the
+    shared folder, for plans that read it in several branches or filter on
+    its derived columns."""
+    s = silver(spark, sf)
+    return materialize(s.select(*NEEDS[need]) if need else s)
 
 
 def skills(spark, sf):
@@ -66,24 +81,24 @@ def gold_top(spark, sf):
 # city, month) start from the written silver table instead (``once=True``),
 # so the filter becomes a Parquet pushdown rather than a copy of the parsing
 # chain inside the filter.
-def _silver_for(spark, sf, once):
-    return silver_once(spark, sf) if once else silver(spark, sf)
+def _silver_for(spark, sf, once, need):
+    return silver_once(spark, sf, need) if once else silver(spark, sf)
 
 
 def gold_pay(spark, sf, once=False):
-    return G.pay_by_profile(_silver_for(spark, sf, once))
+    return G.pay_by_profile(_silver_for(spark, sf, once, "pay"))
 
 
 def gold_city(spark, sf, once=False):
-    return G.listings_by_city_month(_silver_for(spark, sf, once))
+    return G.listings_by_city_month(_silver_for(spark, sf, once, "city"))
 
 
 def gold_rec(spark, sf, once=False):
-    return G.top_recruiters(_silver_for(spark, sf, once))
+    return G.top_recruiters(_silver_for(spark, sf, once, "recruiters"))
 
 
 def gold_trends(spark, sf, once=False):
-    return G.monthly_trends(_silver_for(spark, sf, once))
+    return G.monthly_trends(_silver_for(spark, sf, once, "trends"))
 
 
 def _bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,9 +147,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q3_national": lambda s, d: I.national_pay(gold_pay(s, d, once=True)),
     "q3_national_median": lambda s, d: I.national_pay_median_of_medians(gold_pay(s, d, once=True)),
     "q3_city_gap": lambda s, d: I.city_pay_gap(gold_pay(s, d, once=True)),
-    "q4_bands": lambda s, d: I.pay_by_experience_band(silver_once(s, d)),
-    "q4_correlation": lambda s, d: I.experience_pay_correlation(silver_once(s, d)),
-    "q4_correlation_grouped": lambda s, d: I.experience_pay_correlation_grouped(silver_once(s, d)),
+    "q4_bands": lambda s, d: I.pay_by_experience_band(silver_once(s, d, "experience")),
+    "q4_correlation": lambda s, d: I.experience_pay_correlation(silver_once(s, d, "experience")),
+    "q4_correlation_grouped": lambda s, d: I.experience_pay_correlation_grouped(silver_once(s, d, "experience")),
     "q5_rank": lambda s, d: I.recruiter_rank(gold_rec(s, d, once=True)),
     "q5_competition": lambda s, d: I.city_competitors(gold_rec(s, d, once=True)),
     "q5_competition_data": lambda s, d: I.city_competitors_with_profiles(gold_rec(s, d, once=True)),
@@ -142,7 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q2_city_pivot": lambda s, d: I.city_pivot(gold_city(s, d, once=True)),
     "v1_city_bubbles": lambda s, d: I.city_bubbles(gold_city(s, d, once=True)),
     "v2_top15": lambda s, d: I.top_skills_chart(gold_top(s, d)),
-    "v3_box": lambda s, d: I.pay_box_stats(silver_once(s, d)),
+    "v3_box": lambda s, d: I.pay_box_stats(silver_once(s, d, "experience")),
     "v4_month_pivot": lambda s, d: I.monthly_profile_pivot(gold_trends(s, d, once=True), month_from=V4_MONTH_FROM,
                                                           month_to=V4_MONTH_TO),
 }
