@@ -36,8 +36,10 @@ def top_skills(skills: DataFrame, silver: DataFrame | None = None, with_total_le
     ((profile, family, skill), (family, skill), ()): the empty set counts
     all distinct listings (every listing has at least one row, the sentinel
     when no skill was found), so the share's denominator needs no second
-    scan. ``silver`` may be given to take the denominator from the listing
-    table instead."""
+    scan. When ``silver`` is given the denominator is COUNT(DISTINCT id)
+    over it instead: a one-column read (or, on a lazy silver plan, the key of
+    the listing view after column pruning), and the skills are extracted
+    once, in the main plan only."""
     sets = [["profil", "famille", "competence"]]
     if with_total_level:
         sets.append(["famille", "competence"])

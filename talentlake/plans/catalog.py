@@ -73,7 +73,10 @@ def skills(spark, sf):
 
 
 def gold_top(spark, sf):
-    return G.top_skills(skills(spark, sf))
+    # The denominator subquery needs only id_offre: column pruning reduces
+    # its silver branch to the listing view's key, with no parsing.
+    s = silver(spark, sf)
+    return G.top_skills(extract_skills(s), s)
 
 
 # Gold tables as registered queries: one aggregation over silver computed on
