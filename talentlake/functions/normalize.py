@@ -81,17 +81,26 @@ def pay_expand_k(text: Column) -> Column:
 
 
 def pay_numbers(expanded: Column, is_eur: Column, eur_rate: float = L.EUR_TO_MAD) -> Column:
-    """First two numbers of the text, in MAD."""
-    return F.transform(
-        F.slice(F.regexp_extract_all(expanded, F.lit(L.PAY_NUMBER_PATTERN), F.lit(0)), 1, 2),
-        lambda n: F.when(is_eur, n.cast("double") * F.lit(eur_rate)).otherwise(n.cast("double")),
+    """struct(n, lo, hi): how many of the first two numbers exist (0-2) and
+    their min / max in MAD (``least``/``greatest`` skip a missing second)."""
+    found = F.regexp_extract_all(expanded, F.lit(L.PAY_NUMBER_PATTERN), F.lit(0))
+
+    def mad(i: int) -> Column:
+        v = F.try_element_at(found, F.lit(i)).cast("double")
+        return F.when(is_eur, v * F.lit(eur_rate)).otherwise(v)
+
+    a, b = mad(1), mad(2)
+    return F.struct(
+        F.least(F.size(found), F.lit(2)).alias("n"),
+        F.least(a, b).alias("lo"),
+        F.greatest(a, b).alias("hi"),
     )
 
 
 def pay_known(numbers: Column, is_sentinel: Column, low: float = L.PAY_MIN_PLAUSIBLE,
               high: float = L.PAY_MAX_PLAUSIBLE) -> Column:
-    known = ((~is_sentinel) & (F.size(numbers) > 0)
-             & (F.array_min(numbers) >= F.lit(low)) & (F.array_max(numbers) <= F.lit(high)))
+    known = ((~is_sentinel) & (numbers["n"] > 0)
+             & (numbers["lo"] >= F.lit(low)) & (numbers["hi"] <= F.lit(high)))
     return F.coalesce(known, F.lit(False))
 
 
@@ -102,8 +111,8 @@ def pay_struct(pay: Column, eur_rate: float = L.EUR_TO_MAD, low: float = L.PAY_M
     numbers = pay_numbers(pay_expand_k(pay_strip_units(key)), pay_is_eur(key), eur_rate)
     known = pay_known(numbers, pay_is_sentinel(pay), low, high)
     return F.struct(
-        F.when(known, F.array_min(numbers)).alias("salaire_min_mad"),
-        F.when(known, F.array_max(numbers)).alias("salaire_max_mad"),
+        F.when(known, numbers["lo"]).alias("salaire_min_mad"),
+        F.when(known, numbers["hi"]).alias("salaire_max_mad"),
         known.alias("salaire_connu"),
     )
 

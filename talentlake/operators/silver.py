@@ -53,8 +53,8 @@ def to_silver(raw: DataFrame, keep_language_list: bool = True) -> DataFrame:
     )
     s6 = s5.select(
         "*",
-        F.when(F.col("_known"), F.array_min("_nums")).alias("_lo"),
-        F.when(F.col("_known"), F.array_max("_nums")).alias("_hi"),
+        F.when(F.col("_known"), F.col("_nums.lo")).alias("_lo"),
+        F.when(F.col("_known"), F.col("_nums.hi")).alias("_hi"),
         N.city_region(F.col("ville"), F.col("_cs"), F.col("_cm")).alias("_city"),
     )
     dp, de = F.col("_dp"), F.col("_de")

@@ -76,21 +76,27 @@ def skill_text(skills_col: Column, description_col: Column) -> Column:
     return F.lower(F.concat_ws(" ", F.nullif(skills_col, F.lit("")), F.nullif(description_col, F.lit(""))))
 
 
+SKILL_STRUCT = T.StructType([T.StructField("competence", T.StringType()), T.StructField("famille", T.StringType())])
+
+
 def matched_skills(text: Column, dictionary: Dictionary) -> Column:
     """array<struct<competence, famille>> of the skills found in ``text``.
 
     Pass a column reference (prepared text), not an expression: the text is
     read once per skill. A byte-level substring test on the aliases guards
-    each regex, so the boundary regex only runs when an alias occurs."""
+    each regex, so the boundary regex only runs when an alias occurs. Each
+    skill contributes a 0- or 1-element array and ``flatten`` joins them, so
+    the whole projection stays inside whole-stage codegen (no lambda)."""
+    empty = F.array().cast(T.ArrayType(SKILL_STRUCT))
     slots = [
         F.when(contains_any(text, aliases) & text.rlike(whole_word_any(aliases)),
-               F.struct(F.lit(skill).alias("competence"), F.lit(fam).alias("famille")))
+               F.array(F.struct(F.lit(skill).alias("competence"), F.lit(fam).alias("famille"))))
+        .otherwise(empty)
         for fam, skill, aliases in dictionary
     ]
     if not slots:
-        return F.array().cast(T.ArrayType(T.StructType([
-            T.StructField("competence", T.StringType()), T.StructField("famille", T.StringType())])))
-    return F.array_compact(F.array(*slots))
+        return empty
+    return F.flatten(F.array(*slots))
 
 
 def extract_skills(silver: DataFrame, dictionary: Dictionary | None = None) -> DataFrame:
