@@ -117,9 +117,13 @@ def national_pay_median_of_medians(pay: DataFrame) -> DataFrame:
     )
 
 
-def city_pay_gap(pay: DataFrame, city: str = "Tanger", min_listings: int = 5) -> DataFrame:
+def city_pay_gap(pay: DataFrame, city: str = "Tanger", min_listings: int = 5, top: int | None = None,
+                 null_as_zero: bool = False) -> DataFrame:
     """Pay groups of one city (>= ``min_listings``) next to the national
-    figure of their profile, and the signed gap local - national."""
+    figure of their profile, and the signed gap local - national.
+
+    Script form: ``top=10, null_as_zero=True`` keeps the 10 best-paid groups
+    and reads a missing local or national figure as 0."""
     national = national_pay(pay).select("profil", F.col("salaire_median_mad").alias("mediane_nationale"))
     local = pay.filter((F.col("ville") == F.lit(city)) & (F.col("nb_offres") >= min_listings)).select(
         "profil", "ville", "type_contrat", "nb_offres",
@@ -129,11 +133,12 @@ def city_pay_gap(pay: DataFrame, city: str = "Tanger", min_listings: int = 5) ->
         round_half_up(F.col("salaire_min_observe"), 0).alias("sal_min"),
         round_half_up(F.col("salaire_max_observe"), 0).alias("sal_max"),
     )
-    return (
-        local.join(national, "profil", "left")
-        .select("*", (F.col("salaire_median_ville") - F.col("mediane_nationale")).alias("ecart_vs_national"))
+    joined = local.join(national, "profil", "left")
+    if null_as_zero:
+        joined = joined.na.fill(0.0, ["salaire_median_ville", "mediane_nationale"])
+    out = joined.select("*", (F.col("salaire_median_ville") - F.col("mediane_nationale")).alias("ecart_vs_national")) \
         .orderBy(F.desc_nulls_last("salaire_median_ville"), "profil", "type_contrat")
-    )
+    return out.limit(top) if top is not None else out
 
 
 # ------------------------------------------------------------------ Q4

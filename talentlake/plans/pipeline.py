@@ -107,7 +107,7 @@ def analysis_bundle(silver: DataFrame, skills: DataFrame, city: str = "Tanger")
         "q1_top_competences_data": I.top_skills_for_profiles(gold["top_competences"]),
         "q2_villes_comparaison": I.city_pivot(gold["offres_par_ville"], city=city),
         "q3_salaires_national": I.national_pay_median_of_medians(gold["salaires_par_profil"]),
-        "q3_salaires_ville": I.city_pay_gap(gold["salaires_par_profil"], city=city),
+        "q3_salaires_ville": I.city_pay_gap(gold["salaires_par_profil"], city=city, top=10, null_as_zero=True),
         "q4_correlation_experience": I.pay_by_experience_band(silver),
         "q5_top_recruteurs": I.recruiter_rank(gold["entreprises_recruteurs"], 20, method="row_number"),
         "q5_concurrents_ville": I.city_competitors_with_profiles(gold["entreprises_recruteurs"], city=city),
