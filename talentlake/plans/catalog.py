@@ -31,7 +31,14 @@ from talentlake.sources.listings import listings_from_tables, read_table, spread
 V4_MONTH_FROM = "1996"
 V4_MONTH_TO = "2000-06"
 
-SILVER_OUTPUT = [c for c in RAW_COLUMNS if c != "langue_requise"] + [
+# Registered outputs leave out the array column and ``nb_postes`` (never filled
+# by the listing view), and expose nullable integer columns as DOUBLE on both
+# sides (pandas turns a nullable int into float64 from Spark but into a masked
+# integer from DuckDB; DOUBLE is also how the original stored these values).
+RAW_OUTPUT = [c for c in RAW_COLUMNS if c not in ("langue_requise", "nb_postes")]
+NULLABLE_INTS = ("experience_min_ans", "experience_max_ans", "nb_offres_mois_precedent")
+
+SILVER_OUTPUT = RAW_OUTPUT + [
     "profil_normalise", "salaire_min_mad", "salaire_max_mad", "salaire_connu", "salaire_median_mad",
     "experience_min_ans", "experience_max_ans", "ville_std", "region_admin", "type_contrat_std",
     "date_publication_std", "date_expiration_std", "annee", "mois", "date_coherente", "langue_requise_txt",
@@ -104,13 +111,18 @@ def gold_trends(spark, sf, once=False):
     return G.monthly_trends(_silver_for(spark, sf, once, "trends"))
 
 
+def as_double(df: DataFrame) -> DataFrame:
+    """Nullable integer output columns as DOUBLE (see NULLABLE_INTS)."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c in NULLABLE_INTS else F.col(c) for c in df.columns])
+
+
 def _bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from talentlake.session import lake_root
 
     path = f"{lake_root(spark)}/bronze_roundtrip/{abs(hash(sf)) % 10**8}"
     B.write_bronze(raw(spark, sf), path, source_file=f"{sf}/orders.parquet")
     back = B.read_bronze(spark, path)
-    return back.select(*[c for c in RAW_COLUMNS if c != "langue_requise"], "source_key", "month_key")
+    return back.select(*RAW_OUTPUT, "source_key", "month_key")
 
 
 # ------------------------------------------------------------------ Spark side
@@ -119,12 +131,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_report": lambda s, d: B.ingestion_report(B.with_partition_keys(raw(s, d))),
     "bronze_partitions": lambda s, d: B.list_partitions(B.with_partition_keys(raw(s, d))),
     "bronze_roundtrip": _bronze_roundtrip,
-    "silver_table": lambda s, d: silver(s, d).select(*SILVER_OUTPUT),
+    "silver_table": lambda s, d: as_double(silver(s, d).select(*SILVER_OUTPUT)),
     "title_profile": lambda s, d: silver(s, d).select("id_offre", "titre_poste", "profil_normalise"),
     "pay_parse": lambda s, d: silver(s, d).select(
         "id_offre", "salaire_brut", "salaire_min_mad", "salaire_max_mad", "salaire_connu", "salaire_median_mad"),
-    "experience_parse": lambda s, d: silver(s, d).select(
-        "id_offre", "experience_requise", "experience_min_ans", "experience_max_ans"),
+    "experience_parse": lambda s, d: as_double(silver(s, d).select(
+        "id_offre", "experience_requise", "experience_min_ans", "experience_max_ans")),
     "city_region": lambda s, d: silver(s, d).select("id_offre", "ville", "ville_std", "region_admin"),
     "contract_type": lambda s, d: silver(s, d).select("id_offre", "type_contrat", "type_contrat_std"),
     "date_check": lambda s, d: silver(s, d).select(
@@ -141,7 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_pay": gold_pay,
     "gold_city_month": gold_city,
     "gold_recruiters": gold_rec,
-    "gold_trends": gold_trends,
+    "gold_trends": lambda s, d: as_double(gold_trends(s, d)),
     "q1_top20": lambda s, d: I.top_skills_overall(gold_top(s, d), 20),
     "q1_top5_profiles": lambda s, d: I.top_skills_for_profiles(gold_top(s, d)),
     "q2_city_rank": lambda s, d: I.city_rank(gold_city(s, d, once=True)),
@@ -367,13 +379,14 @@ ORACLE: dict[str, str] = {
     "bronze_partition_keys": _raw_keys_sql("SELECT id_offre, source_key, month_key FROM keyed"),
     "bronze_report": _report_sql(),
     "bronze_partitions": _raw_keys_sql("SELECT DISTINCT source_key, month_key FROM keyed"),
-    "bronze_roundtrip": _raw_keys_sql(
-        "SELECT " + ", ".join(c for c in RAW_COLUMNS if c != "langue_requise") + ", source_key, month_key FROM keyed"),
-    "silver_table": _silver("SELECT " + ", ".join(SILVER_OUTPUT) + " FROM silver"),
+    "bronze_roundtrip": _raw_keys_sql("SELECT " + ", ".join(RAW_OUTPUT) + ", source_key, month_key FROM keyed"),
+    "silver_table": _silver("SELECT " + ", ".join(
+        f"CAST({c} AS DOUBLE) AS {c}" if c in NULLABLE_INTS else c for c in SILVER_OUTPUT) + " FROM silver"),
     "title_profile": _silver("SELECT id_offre, titre_poste, profil_normalise FROM silver"),
     "pay_parse": _silver(
         "SELECT id_offre, salaire_brut, salaire_min_mad, salaire_max_mad, salaire_connu, salaire_median_mad FROM silver"),
-    "experience_parse": _silver("SELECT id_offre, experience_requise, experience_min_ans, experience_max_ans FROM silver"),
+    "experience_parse": _silver("SELECT id_offre, experience_requise, CAST(experience_min_ans AS DOUBLE) AS experience_min_ans, "
+                                "CAST(experience_max_ans AS DOUBLE) AS experience_max_ans FROM silver"),
     "city_region": _silver("SELECT id_offre, ville, ville_std, region_admin FROM silver"),
     "contract_type": _silver("SELECT id_offre, type_contrat, type_contrat_std FROM silver"),
     "date_check": _silver(
@@ -415,7 +428,8 @@ FROM agg"""),
     "gold_pay": _gold("SELECT * FROM gold_pay"),
     "gold_city_month": _gold("SELECT * FROM gold_city"),
     "gold_recruiters": _gold("SELECT * FROM gold_rec"),
-    "gold_trends": _gold("SELECT * FROM gold_trends"),
+    "gold_trends": _gold("SELECT annee, mois, profil, nb_offres, salaire_moyen_mois, "
+                         "CAST(nb_offres_mois_precedent AS DOUBLE) AS nb_offres_mois_precedent FROM gold_trends"),
     "q1_top20": _gold(
         f"SELECT famille, competence, nb_offres_mentionnent, pct_offres_total, rang_dans_profil FROM gold_top "
         f"WHERE profil = {q(L.TOTAL_PROFILE_LABEL)} ORDER BY nb_offres_mentionnent DESC, competence LIMIT 20"),
