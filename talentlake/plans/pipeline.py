@@ -9,6 +9,7 @@ and five gold tables share one scan of it instead of five re-parses.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,11 +73,22 @@ def build_gold(silver: DataFrame, skills: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run_gold(spark: SparkSession, paths: LakePaths) -> None:
+def run_gold(spark: SparkSession, paths: LakePaths, concurrent: bool = True) -> None:
+    """Write the five gold tables. They are independent jobs over the same
+    silver tables, so by default they are submitted together from a small
+    thread pool and the scheduler overlaps their stages (each job still
+    runs on the whole cluster; a failure in one is re-raised)."""
     silver = read_table(spark, paths.silver_listings)
     skills = read_table(spark, paths.silver_skills)
-    for name, df in build_gold(silver, skills).items():
-        write_table(df, paths.gold(name))
+    tables = build_gold(silver, skills)
+    if not concurrent:
+        for name, df in tables.items():
+            write_table(df, paths.gold(name))
+        return
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = [pool.submit(write_table, df, paths.gold(name)) for name, df in tables.items()]
+        for f in futures:
+            f.result()
 
 
 def run(spark: SparkSession, raw: DataFrame | None, root: str, stages=STAGES, source_file: str = "",
