@@ -128,8 +128,10 @@ def experience_bounds(key: Column) -> Column:
     rng1 = F.regexp_extract(key, L.EXPERIENCE_RANGE, 1)
     rng2 = F.regexp_extract(key, L.EXPERIENCE_RANGE, 2)
     one = F.regexp_extract(key, L.EXPERIENCE_MIN_ONLY, 1)
-    has_rng = key.rlike(L.EXPERIENCE_RANGE)
-    has_one = key.rlike(L.EXPERIENCE_MIN_ONLY)
+    # group 1 is ``\d+``: non-empty exactly when the pattern matches, so no
+    # separate ``rlike`` pass is needed
+    has_rng = rng1 != F.lit("")
+    has_one = one != F.lit("")
     lo = F.when(key.isNull(), F.lit(None).cast("int"))
     hi = F.when(key.isNull(), F.lit(None).cast("int"))
     for needles, kmin, kmax in L.EXPERIENCE_KEYWORDS:
