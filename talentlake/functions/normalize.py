@@ -65,7 +65,7 @@ def pay_expand_k(text: Column) -> Column:
     left-to-right match sequence as a regex substitution)."""
     pieces = F.split(text, L.PAY_K_PATTERN, -1)
     knums = F.regexp_extract_all(text, F.lit(L.PAY_K_PATTERN), F.lit(1))
-    return F.array_join(
+    expanded = F.array_join(
         F.transform(
             pieces,
             lambda piece, i: F.concat(
@@ -78,6 +78,8 @@ def pay_expand_k(text: Column) -> Column:
         ),
         "",
     )
+    # without a "k" the pattern cannot match and the text is unchanged
+    return F.when(F.contains(text, F.lit("k")), expanded).otherwise(text)
 
 
 def pay_numbers(expanded: Column, is_eur: Column, eur_rate: float = L.EUR_TO_MAD) -> Column:
