@@ -114,3 +114,13 @@ def test_bronze_stream(spark, scratch):
     assert landed.count() == raw.count()
     keys = B.with_partition_keys(raw).select("id_offre", "source_key", "month_key")
     assert landed.select("id_offre", "source_key", "month_key").exceptAll(keys).count() == 0
+
+
+def test_stages_run_separately(spark, scratch):
+    raw = listings_from_tables(spark, SF_SMALL)
+    root = os.path.join(scratch, "lake2")
+    pipeline.run(spark, raw, root, stages=("bronze",))
+    paths = pipeline.run(spark, None, root, stages=("silver", "gold"))
+    assert spark.read.parquet(paths.silver_listings).count() == raw.count()
+    assert spark.read.json(paths.ingestion_report).filter("niveau = 'total'").first().nb_offres == raw.count()
+    assert spark.read.parquet(paths.gold("tendances_mensuelles")).count() > 0
