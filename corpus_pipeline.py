@@ -11,12 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentlake.llm import decontamination, mixing, simhash, suffix_dedup
+from talentlake.llm import decontamination, mixing, quality, simhash, suffix_dedup
 from talentlake.llm.common import row_key, written
 
 KEY = "__row"
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules: documents that fail the base rules or leave their language's
+    perplexity band go."""
+    kept = quality.judged(docs).where("kept").select(F.col("rid").alias(KEY)).distinct()
+    return docs.withColumn(KEY, row_key()).join(kept, KEY, "left_semi").select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each component the document with the smallest id stays
     (rows that repeat that id stay with it)."""
@@ -50,6 +57,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
     ("suffix_array", suffix_array),
     ("decontaminated", decontaminated),

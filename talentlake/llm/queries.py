@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from talentlake.llm import chat_format, decontamination, mixing, simhash, substring_dedup, suffix_dedup, token_counts, url_rules
+from talentlake.llm import chat_format, decontamination, hmm, mixing, quality, simhash, substring_dedup, suffix_dedup, token_counts, url_rules
 
 # Fixed values of the contract: host, path, verdict.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -33,6 +33,10 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
 
+def op5_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=[5, 2, 1], most=3).drop("rid")
 
@@ -41,6 +45,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_later_copies(table(spark, sf_dir, "documents"), span=50)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).drop("rid")
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), RULES)
 
@@ -49,6 +57,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_chats(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontamination, op4_simhash_dedup, op6_mixing, op7_suffix_dedup, op9_url_filters, op10_chat_format)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontamination, op4_simhash_dedup, op5_hmm_score, op6_mixing, op7_suffix_dedup, op8_quality_rules, op9_url_filters, op10_chat_format)}
 
 ORACLE: dict[str, str] = {}
