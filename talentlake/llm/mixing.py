@@ -61,28 +61,30 @@ def targets(sources: DataFrame, weights: list[float], most: float) -> DataFrame:
 
 def tilt(most: float):
     """Rate of a document: the tilted one, at most ``most``; 0 where there is nothing to take."""
-    return F.when(F.col("size") > 0, F.least(F.lit(float(most)), F.exp(F.col("l") * F.col("size") / F.col("mean")))).otherwise(F.lit(0.0))
+    return F.when(F.col("size") > 0, F.least(F.lit(float(most)), F.exp(F.try_divide(F.col("l") * F.col("size"), F.col("mean"))))).otherwise(F.lit(0.0))
 
 
-def multipliers(counts: DataFrame, sources: DataFrame, most: float, tolerance: float = 1e-10, rounds: int = 60) -> DataFrame:
+def multipliers(counts: DataFrame, sources: DataFrame, most: float, tolerance: float = 1e-9, rounds: int = 60) -> DataFrame:
     """Adds ``l`` to sources: the root of the dual's gradient, by safeguarded Newton steps.
     counts: (source, size, n)."""
     cap = log(most) + 1e-9
-    start = F.when(F.col("target") > 0, F.greatest(F.lit(-30.0), F.least(F.lit(cap), F.log(F.col("target") / F.col("source_size"))))).otherwise(F.lit(0.0))
+    start = F.coalesce(F.greatest(F.lit(-30.0), F.least(F.lit(cap), F.log(F.try_divide(F.col("target"), F.col("source_size"))))), F.lit(0.0))
     # every rate is at the cap above, and the least positive size takes next to nothing below
-    state = sources.withColumn("hi", F.when(F.col("least") > 0, F.lit(cap) * F.col("mean") / F.col("least")).otherwise(F.lit(0.0)))
-    state = state.withColumn("lo", F.when(F.col("least") > 0, F.lit(-45.0) * F.col("mean") / F.col("least")).otherwise(F.lit(0.0)))
+    state = sources.withColumn("hi", F.when(F.col("least") > 0, F.lit(cap) * F.try_divide(F.col("mean"), F.col("least"))).otherwise(F.lit(0.0)))
+    state = state.withColumn("lo", F.when(F.col("least") > 0, F.lit(-45.0) * F.try_divide(F.col("mean"), F.col("least"))).otherwise(F.lit(0.0)))
+    # a source that is to be taken whole, as often as may be, starts where all rates are at the cap
+    start = F.when(F.col("target") >= F.col("source_size") * F.lit(float(most)), F.col("hi")).otherwise(start)
     state = written(state.withColumn("l", start).withColumn("off", F.lit(1.0)))
     for _ in range(rounds):
         each = counts.join(state.select("key", "l", "mean"), "key").withColumn("r", tilt(most))
-        grown = F.when(F.col("r") < F.lit(float(most)), F.col("r") * F.col("size") / F.col("mean")).otherwise(F.lit(0.0))
+        grown = F.when(F.col("r") < F.lit(float(most)), F.col("r") * F.try_divide(F.col("size"), F.col("mean"))).otherwise(F.lit(0.0))
         took = F.col("n") * F.col("size") * F.col("r")
         sums = each.groupBy("key").agg(F.sum(took.cast(EXACT)).cast("double").alias("took"), F.sum((F.col("n") * F.col("size") * grown).cast(EXACT)).cast("double").alias("slope"))
-        now = state.join(sums, "key").withColumn("off", F.when(F.col("target") > 0, F.abs(F.col("took") / F.col("target") - 1)).otherwise(F.lit(0.0)))
+        now = state.join(sums, "key").withColumn("off", F.when(F.col("target") > 0, F.abs(F.try_divide(F.col("took"), F.col("target")) - 1)).otherwise(F.lit(0.0)))
         now = now.withColumn("hi", F.when(F.col("took") >= F.col("target"), F.col("l")).otherwise(F.col("hi")))
         now = now.withColumn("lo", F.when(F.col("took") < F.col("target"), F.col("l")).otherwise(F.col("lo")))
         # Newton on log(took), which is close to a line in l
-        step = F.when((F.col("slope") > 0) & (F.col("took") > 0) & (F.col("target") > 0), F.col("l") - F.log(F.col("took") / F.col("target")) * F.col("took") / F.col("slope"))
+        step = F.when((F.col("slope") > 0) & (F.col("took") > 0) & (F.col("target") > 0), F.col("l") - F.try_divide(F.log(F.try_divide(F.col("took"), F.col("target"))) * F.col("took"), F.col("slope")))
         inside = step.isNotNull() & (step > F.col("lo")) & (step < F.col("hi"))
         moved = F.when(F.col("off") <= tolerance, F.col("l")).when(inside, step).otherwise((F.col("lo") + F.col("hi")) / 2)
         after = written(now.withColumn("l", F.round(moved, 13)).drop("took", "slope"))
