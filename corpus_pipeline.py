@@ -35,11 +35,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup: later copies of 50 bytes go; documents stay, with what is left.
     Texts that lose nothing stay as they are."""
-    carry = {c: F.col(c) for c in docs.columns if c not in ("doc_id", "text")} | {KEY: F.col("text").isNull()}
+    carry = {f"__{c}": F.col(c) for c in docs.columns if c not in ("doc_id", "text")} | {KEY: F.col("text").isNull()}
     found = suffix_dedup.remove_later_copies(docs, span=50, keep_text=True, carry=carry)
-    text = F.when(~F.col(KEY), F.col("kept")).alias("text")
-    n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
-    return found.select(*[{"text": text, "n_chars": n_chars}.get(c, F.col(c)) for c in docs.columns])
+    made = {"doc_id": F.col("doc_id"), "text": F.when(~F.col(KEY), F.col("kept")).alias("text")}
+    if "n_chars" in docs.columns:
+        made["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("__n_chars")).alias("n_chars")
+    return found.select(*[made.get(c, F.col(f"__{c}").alias(c)) for c in docs.columns])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

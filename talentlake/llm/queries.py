@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from talentlake.llm import chat_format, decontamination, hmm, mixing, quality, simhash, substring_dedup, suffix_dedup, token_counts, url_rules
+from talentlake.llm import chat_format, decontamination, hmm, mixing, oracle, quality, simhash, substring_dedup, suffix_dedup, token_counts, url_rules
 
 # Fixed values of the contract: host, path, verdict.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -59,4 +59,4 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontamination, op4_simhash_dedup, op5_hmm_score, op6_mixing, op7_suffix_dedup, op8_quality_rules, op9_url_filters, op10_chat_format)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
