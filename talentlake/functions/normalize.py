@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 
 from talentlake import lexicons as L
 from talentlake.functions.rules import RuleSet
-from talentlake.functions.text import contains_any, ilike_any, py_strip, py_title
+from talentlake.functions.text import contains_any, ilike_any, java_regex, py_strip, py_title
+
+
+# Stands for a pay number that does not fit 64 bits.
+BEYOND_ANY_PAY = "9" * 18
 
 
 # ---------------------------------------------------------------- N1 title
@@ -62,22 +66,18 @@ def pay_strip_units(key: Column) -> Column:
 def pay_expand_k(text: Column) -> Column:
     """Every ``<number>k`` replaced in place by ``int(number * 1000)``: the
     pieces between K-numbers interleaved with the expanded numbers (same
-    left-to-right match sequence as a regex substitution)."""
+    left-to-right match sequence as a regex substitution). A product beyond
+    64 bits becomes a number above every plausible pay, so that the row is
+    rejected as implausible instead of failing the job."""
     pieces = F.split(text, L.PAY_K_PATTERN, -1)
     knums = F.regexp_extract_all(text, F.lit(L.PAY_K_PATTERN), F.lit(1))
+
+    def thousands(number: Column) -> Column:
+        product = (number.cast("double") * F.lit(1000.0)).try_cast("bigint").cast("string")
+        return F.when(number.isNull(), F.lit("")).otherwise(F.coalesce(product, F.lit(BEYOND_ANY_PAY)))
+
     expanded = F.array_join(
-        F.transform(
-            pieces,
-            lambda piece, i: F.concat(
-                piece,
-                F.coalesce(
-                    (F.try_element_at(knums, i + 1).cast("double") * F.lit(1000.0)).cast("bigint").cast("string"),
-                    F.lit(""),
-                ),
-            ),
-        ),
-        "",
-    )
+        F.transform(pieces, lambda piece, i: F.concat(piece, thousands(F.try_element_at(knums, i + 1)))), "")
     # without a "k" the pattern cannot match and the text is unchanged
     return F.when(F.contains(text, F.lit("k")), expanded).otherwise(text)
 
@@ -127,9 +127,11 @@ def experience_key(exp: Column) -> Column:
 def experience_bounds(key: Column) -> Column:
     """Prepared experience text -> struct(min years, max years); keyword
     tests first, then ``a-b`` ranges, then ``n+ / n ans / n years``."""
-    rng1 = F.regexp_extract(key, L.EXPERIENCE_RANGE, 1)
-    rng2 = F.regexp_extract(key, L.EXPERIENCE_RANGE, 2)
-    one = F.regexp_extract(key, L.EXPERIENCE_MIN_ONLY, 1)
+    # Unicode white space (U+00A0, U+202F, ...) separates numbers too
+    span, single = java_regex(L.EXPERIENCE_RANGE), java_regex(L.EXPERIENCE_MIN_ONLY)
+    rng1 = F.regexp_extract(key, span, 1)
+    rng2 = F.regexp_extract(key, span, 2)
+    one = F.regexp_extract(key, single, 1)
     # group 1 is ``\d+``: non-empty exactly when the pattern matches, so no
     # separate ``rlike`` pass is needed
     has_rng = rng1 != F.lit("")
@@ -186,24 +188,20 @@ def contract_type(contract: Column, rules=L.CONTRACT_RULES, default=L.CONTRACT_D
 
 # ---------------------------------------------------------------- N10-N11 dates
 def parse_day(text: Column) -> Column:
-    """First 10 characters as ``Y-M-D`` (zero padding optional) -> DATE, else NULL."""
-    return F.to_date(F.try_to_timestamp(F.substring(text, 1, 10), F.lit("y-M-d")))
+    """First 10 characters as ``Y-M-D`` (four-digit year, zero padding of month and
+    day optional) -> DATE, else NULL."""
+    day = F.substring(text, 1, 10)
+    return F.when(day.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), F.to_date(F.try_to_timestamp(day, F.lit("y-M-d"))))
 
 
-def dates_struct(pub: Column, exp: Column) -> Column:
-    """Publication/expiration text -> standard text dates, year, month, coherence."""
-    dp = parse_day(pub)
-    de = parse_day(exp)
-    return F.struct(
-        F.date_format(dp, "yyyy-MM-dd").alias("date_publication_std"),
-        F.date_format(de, "yyyy-MM-dd").alias("date_expiration_std"),
-        F.year(dp).cast("string").alias("annee"),
-        F.lpad(F.month(dp).cast("string"), 2, "0").alias("mois"),
-        F.coalesce(~(de <= dp), F.lit(True)).alias("date_coherente"),
-    )
+# ---------------------------------------------------------------- N12
+def text_or_list(text: Column) -> Column:
+    """A field that is a JSON array of texts or one plain text -> array of texts
+    (of the one plain text, so that ``join_list`` gives it back)."""
+    parsed = F.from_json(text, "array<string>")
+    return F.when(F.ltrim(text).startswith("["), parsed).otherwise(F.when(text.isNotNull(), F.array(text)))
 
 
-# ---------------------------------------------------------------- N12
 def join_list(col: Column, sep: str = ", ") -> Column:
     """Array of strings -> ``sep``-joined text; NULL -> empty text."""
     return F.coalesce(F.array_join(col, sep), F.lit(""))

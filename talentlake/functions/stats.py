@@ -25,3 +25,13 @@ def pearson(x: Column, y: Column) -> Column:
     xx = F.when(both, x.cast("double"))
     yy = F.when(both, y.cast("double"))
     return F.try_divide(F.covar_pop(xx, yy), F.nullif(F.stddev_pop(xx) * F.stddev_pop(yy), F.lit(0.0)))
+
+
+def pearson_weighted(x: Column, y: Column, n: Column) -> Column:
+    """Pearson r of rows that stand for ``n`` equal ones each (no NULLs); NULL for zero variance."""
+    x, y, n = x.cast("double"), y.cast("double"), n.cast("double")
+    total = F.sum(n)
+    mean = lambda v: F.try_divide(F.sum(v * n), total)
+    covariance = mean(x * y) - mean(x) * mean(y)
+    spread = F.sqrt(F.greatest(mean(x * x) - mean(x) * mean(x), F.lit(0.0))) * F.sqrt(F.greatest(mean(y * y) - mean(y) * mean(y), F.lit(0.0)))
+    return F.when(spread > F.lit(1e-9), covariance / spread)

@@ -1,10 +1,11 @@
 """Gold: the five aggregate tables.
 
-Every table is one hash aggregation with map-side partial aggregation, so
-the shuffle carries at most one partial row per group per input partition:
-a group holding a third of all listings costs no more network than any
-other. Windows run on the aggregated rows (bounded by the key domains:
-profiles x skills, profiles x months).
+Every table is a hash aggregation with map-side partial aggregation, so a group
+that holds a third of all listings sends one partial row per task. The distinct
+counts of G1 shuffle one row per (listing, skill) pair, keyed by the pair. Windows
+run on the aggregated rows: profiles x skills, and profiles x months. City
+names are not a closed list (an unrecognised one is kept), so the rows of G2, G3
+and G4 grow with the distinct city texts.
 
 Exact medians/quartiles use ``percentile``, whose partial buffers are
 (value -> count) maps, so memory grows with the number of DISTINCT pay
@@ -27,41 +28,37 @@ def _listing_count() -> F.Column:
 
 
 def top_skills(skills: DataFrame, silver: DataFrame | None = None, with_total_level: bool = True,
-               total_label: str = L.TOTAL_PROFILE_LABEL) -> DataFrame:
+               total_label: str = L.TOTAL_PROFILE_LABEL, with_profiles: bool = True,
+               unique_ids: bool = False) -> DataFrame:
     """G1: skills per profile -> distinct listings, share of ALL listings,
     rank inside the profile. With ``with_total_level`` an extra level
-    ``profil = 'tous'`` ranks the skills over all listings.
-
-    One aggregation over the skills table with grouping sets
-    ((profile, family, skill), (family, skill), ()): the empty set counts
-    all distinct listings (every listing has at least one row, the sentinel
-    when no skill was found), so the share's denominator needs no second
-    scan. When ``silver`` is given the denominator is COUNT(DISTINCT id)
-    over it instead: a one-column read (or, on a lazy silver plan, the key of
-    the listing view after column pruning), and the skills are extracted
-    once, in the main plan only."""
-    sets = [["profil", "famille", "competence"]]
-    if with_total_level:
-        sets.append(["famille", "competence"])
-    if silver is None:
-        sets.append([])
-    agg = skills.groupingSets(sets, "profil", "famille", "competence").agg(
-        F.countDistinct("id_offre").alias("nb_offres_mentionnent"),
-        F.grouping("profil").alias("_gp"),
-        F.grouping("competence").alias("_gc"),
-    )
-    if silver is None:
-        total = agg.filter(F.col("_gc") == 1).select(F.max("nb_offres_mentionnent")).scalar()
+    ``profil = 'tous'`` ranks the skills over all listings;
+    ``with_profiles=False`` leaves only that one.
+
+    The (listing, skill) pairs are shuffled once: a listing id's rows of one
+    skill become one row with the set of its profiles, and both levels are
+    counts over these rows. ``unique_ids=True`` states that no id occurs in two
+    listings; then rows are counted as they are, and no pair is shuffled at all.
+
+    The denominator is COUNT(DISTINCT id) over ``silver`` (a one-column read; on a
+    lazy silver plan, the key of the listing view after column pruning), or
+    over the skills table, where every listing has at least one row."""
+    levels = [F.col("profil")] if with_profiles else []
+    labels = [F.lit(total_label)] if with_total_level else []
+    known = skills.filter(F.col("competence") != F.lit(L.SKILL_SENTINEL))
+    if unique_ids:
+        each = known.select("famille", "competence", F.explode(F.array(*levels, *labels)).alias("profil"))
     else:
-        total = silver.select(F.countDistinct("id_offre")).scalar()
-    found = agg.filter((F.col("_gc") == 0) & (F.col("competence") != F.lit(L.SKILL_SENTINEL))).select(
-        F.when(F.col("_gp") == 1, F.lit(total_label)).otherwise(F.col("profil")).alias("profil"),
-        "famille", "competence", "nb_offres_mentionnent",
-    )
+        pairs = known.groupBy("id_offre", "famille", "competence").agg(F.collect_set("profil").alias("_in"))
+        held = F.col("_in") if with_profiles else F.array().cast("array<string>")
+        each = pairs.select("famille", "competence", F.explode(F.concat(held, F.array(*labels).cast("array<string>"))).alias("profil"))
+    counts = each.groupBy("profil", "famille", "competence").agg(F.count(F.lit(1)).alias("nb_offres_mentionnent"))
+    ids = silver if silver is not None else skills
+    ids = ids.select(F.count(F.lit(1)) if unique_ids and silver is not None else F.countDistinct("id_offre"))
     w = Window.partitionBy("profil").orderBy(F.desc("nb_offres_mentionnent"))
-    return found.select(
+    return counts.select(
         "profil", "famille", "competence", "nb_offres_mentionnent",
-        round_half_up(F.col("nb_offres_mentionnent").cast("double") * F.lit(100.0) / total.cast("double"), 2)
+        round_half_up(F.col("nb_offres_mentionnent").cast("double") * F.lit(100.0) / ids.scalar().cast("double"), 2)
         .alias("pct_offres_total"),
         F.rank().over(w).cast("bigint").alias("rang_dans_profil"),
     ).orderBy("profil", "rang_dans_profil", "competence")
@@ -81,14 +78,20 @@ def pay_by_profile(silver: DataFrame, min_listings: int = 5) -> DataFrame:
         .agg(
             _listing_count().alias("nb_offres"),
             F.count_if(known).alias("nb_offres_avec_salaire"),
-            round_half_up(F.median(mid), 0).alias("salaire_median_mad"),
+            # one value map for all three quartiles
+            F.percentile(mid, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
             round_half_up(F.avg(mid), 0).alias("salaire_moyen_mad"),
-            round_half_up(F.percentile(mid, 0.25), 0).alias("salaire_q1_mad"),
-            round_half_up(F.percentile(mid, 0.75), 0).alias("salaire_q3_mad"),
             round_half_up(F.min(F.when(known, F.col("salaire_min_mad"))), 0).alias("salaire_min_observe"),
             round_half_up(F.max(F.when(known, F.col("salaire_max_mad"))), 0).alias("salaire_max_observe"),
         )
         .filter(F.col("nb_offres") >= min_listings)
+        .select(
+            "profil", "ville", "type_contrat", "nb_offres", "nb_offres_avec_salaire",
+            round_half_up(F.col("_q")[1], 0).alias("salaire_median_mad"), "salaire_moyen_mad",
+            round_half_up(F.col("_q")[0], 0).alias("salaire_q1_mad"),
+            round_half_up(F.col("_q")[2], 0).alias("salaire_q3_mad"),
+            "salaire_min_observe", "salaire_max_observe",
+        )
         .orderBy(F.desc("nb_offres"), "profil", "ville", "type_contrat")
     )
 

@@ -1,10 +1,11 @@
 """Market questions and chart tables on top of gold / silver (Q1-Q5, V1-V4).
 
-Inputs are gold tables (small: bounded by profiles x cities x months) or
-silver (large). Everything that touches silver is a partial+final
-aggregation; joins are between aggregates whose size is bounded by the
-profile/city domains, so AQE turns them into broadcast joins at runtime
-from measured sizes. Top-k cuts carry explicit tie keys.
+Inputs are gold tables or silver (large). Everything that touches silver is a
+partial+final aggregation; joins are between aggregates, and AQE turns them into
+broadcast joins where their measured sizes allow. City names are an open list, so
+no plan relies on few cities. Top-k cuts carry explicit tie keys; the recruiter
+questions (Q5) see the top 100 of the gold table, and the pay questions (Q3)
+only groups of five listings or more, as the tables have them.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talentlake import lexicons as L
-from talentlake.functions.normalize import competition_level, experience_band
-from talentlake.functions.stats import pct_of, pearson
-from talentlake.functions.text import contains_any, round_half_up, truncate_text
+from talentlake.functions.normalize import competition_level, experience_band, experience_band_index
+from talentlake.functions.stats import pct_of, pearson, pearson_weighted
+from talentlake.functions.text import (
+    chart_label, contains_any, family_label, percent_text, round_half_up, signed_thousands, truncate_text,
+)
 
 
 # ------------------------------------------------------------------ Q1
@@ -117,14 +120,43 @@ def national_pay_median_of_medians(pay: DataFrame) -> DataFrame:
     )
 
 
+def national_pay_exact(silver: DataFrame) -> DataFrame:
+    """Q3a from silver: the TRUE median of each profile's known pay values, with the
+    share of listings that give their pay as ``NN%`` text. Listings are first
+    reduced to (profile, pay, count), so a hot profile sends its distinct values."""
+    known = F.col("salaire_connu")
+    value = F.when(known, F.col("salaire_median_mad"))
+    counted = silver.groupBy(F.col("profil_normalise").alias("profil"), value.alias("v")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(known).alias("k"),
+        F.min(F.when(known, F.col("salaire_min_mad"))).alias("lo"), F.max(F.when(known, F.col("salaire_max_mad"))).alias("hi"))
+    return counted.groupBy("profil").agg(
+        F.sum("n").alias("nb_offres_total"),
+        F.sum("k").alias("nb_avec_salaire"),
+        percent_text(F.sum("k"), F.sum("n")).alias("pct_salaire"),
+        round_half_up(F.percentile("v", 0.5, F.col("n")), 0).alias("salaire_median_mad"),
+        round_half_up(F.min("lo"), 0).alias("salaire_plancher"),
+        round_half_up(F.max("hi"), 0).alias("salaire_plafond"),
+    ).orderBy(F.desc_nulls_last("salaire_median_mad"), "profil")
+
+
+def city_pay_gap_script(pay: DataFrame, city: str = "Tanger", top: int = 10) -> DataFrame:
+    """Q3b, script form: the ``top`` best-paid groups of one city against the MEDIAN of
+    their profile's non-zero group medians; missing figures count as 0, and the gap
+    is also given as signed text."""
+    national = national_pay_median_of_medians(pay)
+    gap = city_pay_gap(pay, city, top=top, null_as_zero=True, national=national)
+    return gap.withColumn("ecart_texte", signed_thousands(F.col("ecart_vs_national")))
+
+
 def city_pay_gap(pay: DataFrame, city: str = "Tanger", min_listings: int = 5, top: int | None = None,
-                 null_as_zero: bool = False) -> DataFrame:
+                 null_as_zero: bool = False, national: DataFrame | None = None) -> DataFrame:
     """Pay groups of one city (>= ``min_listings``) next to the national
     figure of their profile, and the signed gap local - national.
 
-    Script form: ``top=10, null_as_zero=True`` keeps the 10 best-paid groups
-    and reads a missing local or national figure as 0."""
-    national = national_pay(pay).select("profil", F.col("salaire_median_mad").alias("mediane_nationale"))
+    national: (profil, salaire_median_mad), by default the mean of group medians;
+    ``top`` keeps the best-paid groups, ``null_as_zero`` reads a missing
+    local or national figure as 0."""
+    national = (national_pay(pay) if national is None else national).select("profil", F.col("salaire_median_mad").alias("mediane_nationale"))
     local = pay.filter((F.col("ville") == F.lit(city)) & (F.col("nb_offres") >= min_listings)).select(
         "profil", "ville", "type_contrat", "nb_offres",
         round_half_up(F.col("salaire_median_mad"), 0).alias("salaire_median_ville"),
@@ -142,8 +174,22 @@ def city_pay_gap(pay: DataFrame, city: str = "Tanger", min_listings: int = 5, to
 
 
 # ------------------------------------------------------------------ Q4
+def pay_counts(silver: DataFrame) -> DataFrame:
+    """Listings reduced to (profile, pay known, pay, experience) and their number ``n``.
+
+    The experience and box questions need no more of silver. They take silver
+    itself too, but a filter on its derived columns copies the parsing into the
+    plan's constraints; computed and written first, this small table stops that."""
+    return silver.groupBy("profil_normalise", "salaire_connu", "salaire_median_mad", "experience_min_ans").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def _weighted(listings: DataFrame) -> DataFrame:
+    return listings if "n" in listings.columns else listings.withColumn("n", F.lit(1).cast("bigint"))
+
+
 def _q4_rows(silver: DataFrame, profiles) -> DataFrame:
-    return silver.filter(
+    return _weighted(silver).filter(
         F.col("profil_normalise").isin(list(profiles))
         & F.col("salaire_connu")
         & F.col("salaire_median_mad").isNotNull() & (F.col("salaire_median_mad") != 0)
@@ -166,11 +212,12 @@ def pay_by_experience_band(silver: DataFrame, profiles=L.DATA_PROFILES, bands=L.
     rows = _q4_rows(silver, profiles).select(
         F.col("profil_normalise").alias("profil"),
         experience_band(F.col("experience_min_ans"), bands).alias("tranche_experience"),
-        "salaire_median_mad",
+        F.col("salaire_median_mad").alias("v"), "n",
     )
-    agg = rows.groupBy("profil", "tranche_experience").agg(
-        F.count(F.lit(1)).alias("nb_offres"),
-        round_half_up(F.median("salaire_median_mad"), 0).alias("salaire_median"),
+    counted = rows.groupBy("profil", "tranche_experience", "v").agg(F.sum("n").alias("n"))
+    agg = counted.groupBy("profil", "tranche_experience").agg(
+        F.sum("n").alias("nb_offres"),
+        round_half_up(F.percentile("v", 0.5, F.col("n")), 0).alias("salaire_median"),
     )
     grid = _grid(silver.sparkSession, profiles, bands)
     return (
@@ -187,8 +234,8 @@ def experience_pay_correlation(silver: DataFrame, profiles=L.DATA_PROFILES) -> D
     return (
         _q4_rows(silver, profiles)
         .groupBy(F.col("profil_normalise").alias("profil"))
-        .agg(F.count(F.lit(1)).alias("nb_offres"),
-             round_half_up(pearson(F.col("experience_min_ans"), F.col("salaire_median_mad")), 3)
+        .agg(F.sum("n").alias("nb_offres"),
+             round_half_up(pearson_weighted(F.col("experience_min_ans"), F.col("salaire_median_mad"), F.col("n")), 3)
              .alias("correlation_pearson"))
         .orderBy("profil")
     )
@@ -198,13 +245,13 @@ def experience_pay_correlation_grouped(silver: DataFrame, profiles=L.DATA_PROFIL
     """Q4, notebook form: rows are first grouped by (profile, band, experience,
     pay flag, pay); r is computed over those DISTINCT combinations (each
     once), then per (profile, band): listings, mean of the group means, r."""
-    base = silver.filter(F.col("profil_normalise").isin(list(profiles))).select(
+    base = _weighted(silver).filter(F.col("profil_normalise").isin(list(profiles))).select(
         F.col("profil_normalise").alias("profil"),
         experience_band(F.col("experience_min_ans")).alias("tranche_experience"),
-        "experience_min_ans", "salaire_connu", "salaire_median_mad",
+        "experience_min_ans", "salaire_connu", "salaire_median_mad", "n",
     )
     groups = base.groupBy("profil", "tranche_experience", "experience_min_ans", "salaire_connu", "salaire_median_mad").agg(
-        F.count(F.lit(1)).alias("nb_offres"),
+        F.sum("n").alias("nb_offres"),
         F.avg(F.when(F.col("salaire_connu"), F.col("salaire_median_mad"))).alias("salaire_moyen"),
     )
     keep = F.col("salaire_connu") & F.col("experience_min_ans").isNotNull()
@@ -333,6 +380,19 @@ def top_skills_chart(top_skills: DataFrame, n: int = 15, label: str = L.TOTAL_PR
     )
 
 
+def skill_chart_labels(top_skills: DataFrame) -> DataFrame:
+    """Skills per profile under the charts' short profile and family labels."""
+    return top_skills.select(
+        "profil", "famille", "competence", "nb_offres_mentionnent",
+        chart_label(F.col("profil")).alias("libelle_profil"), family_label(F.col("famille")).alias("libelle_famille"))
+
+
+def pay_by_experience_code(silver: DataFrame, profiles=L.DATA_PROFILES, bands=L.EXPERIENCE_BANDS) -> DataFrame:
+    """Q4 bands with the ordinal code of each band, 1 to 5."""
+    return pay_by_experience_band(silver, profiles, bands).withColumn(
+        "code_experience", experience_band_index(F.col("tranche_experience"), bands))
+
+
 def pay_box_stats(silver: DataFrame, profiles=L.BOX_PROFILES, pay_range=L.BOX_PAY_RANGE,
                   min_values: int = L.BOX_MIN_VALUES, reference_profile: str = "Data Engineer") -> DataFrame:
     """V3: box statistics of listing pay per profile: quartiles, 1.5 IQR
@@ -346,10 +406,10 @@ def pay_box_stats(silver: DataFrame, profiles=L.BOX_PROFILES, pay_range=L.BOX_PA
     frequency), fences and whiskers are all computed from that one reduced
     table, so its shuffle is reused by every branch."""
     lo, hi = pay_range
-    known = silver.filter(F.col("salaire_connu") & F.col("salaire_median_mad").isNotNull()
-                          & (F.col("salaire_median_mad") != 0))
+    known = _weighted(silver).filter(F.col("salaire_connu") & F.col("salaire_median_mad").isNotNull()
+                                     & (F.col("salaire_median_mad") != 0))
     counted = known.groupBy(F.col("profil_normalise").alias("profil"), F.col("salaire_median_mad").alias("v")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     vals = counted.filter(F.col("profil").isin(list(profiles)) & F.col("v").between(lo, hi))
     stats = vals.groupBy("profil").agg(
         F.sum("n").alias("nb_valeurs"),

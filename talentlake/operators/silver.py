@@ -1,13 +1,13 @@
 """Silver: raw listings -> cleaned listings (one narrow stage, no shuffle).
 
-All normalisers are column expressions, so the whole table is one
-``Project`` inside whole-stage codegen over the scan; nothing is shuffled
-and nothing leaves the JVM.
+All normalisers are column expressions in a chain of projections over the scan;
+nothing is shuffled and nothing leaves the JVM. The steps with a lambda
+(``transform``) are evaluated outside whole-stage codegen (docs/PLANS.md).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talentlake import lexicons as L
@@ -70,17 +70,24 @@ def to_silver(raw: DataFrame, keep_language_list: bool = True) -> DataFrame:
         F.col("_city.ville_std").alias("ville_std"),
         F.col("_city.region_admin").alias("region_admin"),
         N.contract_type(F.col("type_contrat")).alias("type_contrat_std"),
-        F.date_format(dp, "yyyy-MM-dd").alias("date_publication_std"),
-        F.date_format(de, "yyyy-MM-dd").alias("date_expiration_std"),
-        F.year(dp).cast("string").alias("annee"),
-        F.lpad(F.month(dp).cast("string"), 2, "0").alias("mois"),
-        F.coalesce(~(de <= dp), F.lit(True)).alias("date_coherente"),
+        *date_columns(dp, de),
     )
     if keep_language_list:
         out = out.withColumn("langue_requise_txt", N.join_list(F.col("langue_requise")))
     return out
 
 
+def date_columns(published: Column, expires: Column) -> list[Column]:
+    """Standard text dates, year, month and coherence of two parsed dates."""
+    return [
+        F.date_format(published, "yyyy-MM-dd").alias("date_publication_std"),
+        F.date_format(expires, "yyyy-MM-dd").alias("date_expiration_std"),
+        F.year(published).cast("string").alias("annee"),
+        F.lpad(F.month(published).cast("string"), 2, "0").alias("mois"),
+        F.coalesce(~(expires <= published), F.lit(True)).alias("date_coherente"),
+    ]
+
+
 def quality_report(silver: DataFrame) -> DataFrame:
     """One-row quality report in a single aggregation pass.
 

@@ -124,16 +124,17 @@ def extract_skills(silver: DataFrame, dictionary: Dictionary | None = None) -> D
 def extraction_report(skills: DataFrame) -> DataFrame:
     """One row: listings analysed / with / without skills, shares, rows (K6).
 
-    A listing without skills has exactly one row, the sentinel, so both
-    counts come from one aggregation over the long table.
+    One row per listing id first (with whether a row of it is the sentinel, and
+    its rows), then sums: one shuffle of ids, map-side combined.
     """
     from talentlake.functions.stats import pct_of
 
     is_sentinel = F.col("competence") == F.lit(L.SKILL_SENTINEL)
-    agg = skills.agg(
-        F.countDistinct("id_offre").alias("nb_offres_analysees"),
-        F.countDistinct(F.when(is_sentinel, F.col("id_offre"))).alias("nb_offres_sans_competence"),
-        F.count(F.lit(1)).alias("nb_lignes"),
+    per_id = skills.groupBy("id_offre").agg(F.max(is_sentinel).alias("_none"), F.count(F.lit(1)).alias("_n"))
+    agg = per_id.agg(
+        F.count("id_offre").alias("nb_offres_analysees"),
+        F.count_if(F.col("_none") & F.col("id_offre").isNotNull()).alias("nb_offres_sans_competence"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("nb_lignes"),
     )
     with_ = F.col("nb_offres_analysees") - F.col("nb_offres_sans_competence")
     return agg.select(

@@ -1,8 +1,9 @@
 """Registered queries: name -> (Spark builder, DuckDB oracle SQL).
 
 Every builder takes ``(spark, sf_dir)``, reads the shared test tables and
-returns a lazy DataFrame over the WHOLE tables (no id subsets, no caps other
-than the top-k cuts that are the feature). The oracle texts are written
+returns a DataFrame over the WHOLE tables (no id subsets, no caps other than the
+top-k cuts that are the feature). Most are lazy; the questions on gold write the
+gold table they read, and the round trips write what they read back. The oracle texts are written
 independently in DuckDB SQL (``talentlake.plans.oracle``).
 """
 
@@ -24,19 +25,16 @@ from talentlake.plans import oracle as O
 from talentlake.plans.oracle import lst, pct, q, rhu
 from talentlake.schema import RAW_COLUMNS, SKILL_COLUMNS
 from talentlake.sources import bronze as B
-from talentlake.session import materialize
-from talentlake.sources.listings import listings_from_tables, read_table, spread
+from talentlake.plans import pipeline
+from talentlake.session import materialize, scratch_table
+from talentlake.sources.listings import listings_from_tables, read_table
 
-# Month window used by the registered V4 query (the test tables span 1995-2001).
-V4_MONTH_FROM = "1996"
-V4_MONTH_TO = "2000-06"
-
-# Registered outputs leave out the array column and ``nb_postes`` (never filled
-# by the listing view), and expose nullable integer columns as DOUBLE on both
-# sides (pandas turns a nullable int into float64 from Spark but into a masked
-# integer from DuckDB; DOUBLE is also how the original stored these values).
-RAW_OUTPUT = [c for c in RAW_COLUMNS if c not in ("langue_requise", "nb_postes")]
-NULLABLE_INTS = ("experience_min_ans", "experience_max_ans", "nb_offres_mois_precedent")
+# Registered outputs leave out the array column (its text copy is there), and
+# expose nullable integer columns as DOUBLE on both sides (pandas turns a
+# nullable int into float64 from Spark but into a masked integer from DuckDB;
+# DOUBLE is also how the original stored these values).
+RAW_OUTPUT = [c for c in RAW_COLUMNS if c != "langue_requise"]
+NULLABLE_INTS = ("experience_min_ans", "experience_max_ans", "nb_offres_mois_precedent", "nb_postes")
 
 SILVER_OUTPUT = RAW_OUTPUT + [
     "profil_normalise", "salaire_min_mad", "salaire_max_mad", "salaire_connu", "salaire_median_mad",
@@ -54,27 +52,6 @@ def silver(spark, sf):
     return to_silver(raw(spark, sf))
 
 
-# Silver columns each consumer reads; materializing only these lets Catalyst
-# prune the normalisers nobody uses before anything is computed or written.
-NEEDS = {
-    "pay": ["profil_normalise", "ville_std", "type_contrat_std", "salaire_connu", "salaire_median_mad",
-            "salaire_min_mad", "salaire_max_mad"],
-    "city": ["ville_std", "region_admin", "profil_normalise", "annee", "mois", "teletravail"],
-    "recruiters": ["entreprise", "ville_std", "profil_normalise", "salaire_connu", "salaire_median_mad",
-                   "date_publication_std"],
-    "trends": ["annee", "mois", "profil_normalise", "salaire_connu", "salaire_median_mad"],
-    "experience": ["profil_normalise", "salaire_connu", "salaire_median_mad", "experience_min_ans"],
-}
-
-
-def silver_once(spark, sf, need: str | None = None):
-    """Silver (only the columns of ``need``) computed once and written to the
-    shared folder, for plans that read it in several branches or filter on
-    its derived columns."""
-    s = silver(spark, sf)
-    return materialize(s.select(*NEEDS[need]) if need else s)
-
-
 def skills(spark, sf):
     return extract_skills(silver(spark, sf))
 
@@ -86,29 +63,43 @@ def gold_top(spark, sf):
     return G.top_skills(extract_skills(s), s)
 
 
-# Gold tables as registered queries: one aggregation over silver computed on
-# the fly. Analyses that FILTER a gold table on a derived column (profile,
-# city, month) start from the written silver table instead (``once=True``),
-# so the filter becomes a Parquet pushdown rather than a copy of the parsing
-# chain inside the filter.
-def _silver_for(spark, sf, once, need):
-    return silver_once(spark, sf, need) if once else silver(spark, sf)
+# Gold tables as registered queries: one aggregation over silver, computed on the fly.
+def gold_pay(spark, sf):
+    return G.pay_by_profile(silver(spark, sf))
+
+
+def gold_city(spark, sf):
+    return G.listings_by_city_month(silver(spark, sf))
 
 
-def gold_pay(spark, sf, once=False):
-    return G.pay_by_profile(_silver_for(spark, sf, once, "pay"))
+def gold_rec(spark, sf):
+    return G.top_recruiters(silver(spark, sf))
 
 
-def gold_city(spark, sf, once=False):
-    return G.listings_by_city_month(_silver_for(spark, sf, once, "city"))
+def gold_trends(spark, sf):
+    return G.monthly_trends(silver(spark, sf))
 
 
-def gold_rec(spark, sf, once=False):
-    return G.top_recruiters(_silver_for(spark, sf, once, "recruiters"))
+def gold_total(spark, sf):
+    """The all-listings level of G1 alone, for the questions that read no other."""
+    s = silver(spark, sf)
+    return G.top_skills(extract_skills(s), s, with_profiles=False)
+
+
+def gold_profiles(spark, sf):
+    s = silver(spark, sf)
+    return G.top_skills(extract_skills(s), s, with_total_level=False)
+
 
+def once(gold):
+    """A gold table computed once and read back: questions that filter on its
+    columns, or read it twice, then work on the few rows of the aggregate. What is
+    written is the aggregate, never listings."""
+    return lambda spark, sf: materialize(gold(spark, sf))
 
-def gold_trends(spark, sf, once=False):
-    return G.monthly_trends(_silver_for(spark, sf, once, "trends"))
+
+pay_table, city_table, recruiters_table, trends_table = once(gold_pay), once(gold_city), once(gold_rec), once(gold_trends)
+counts_table = once(lambda spark, sf: I.pay_counts(silver(spark, sf)))
 
 
 def as_double(df: DataFrame) -> DataFrame:
@@ -116,13 +107,91 @@ def as_double(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in NULLABLE_INTS else F.col(c) for c in df.columns])
 
 
+def _bronze_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw listings landed in a folder of this call's own, and read back."""
+    path = scratch_table(spark)
+    B.write_bronze(raw(spark, sf), path, source_file=f"{sf}/orders.parquet")
+    return B.read_bronze(spark, path)
+
+
 def _bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    from talentlake.session import lake_root
+    return as_double(_bronze_written(spark, sf).select(*RAW_OUTPUT, "source_key", "month_key"))
 
-    path = f"{lake_root(spark)}/bronze_roundtrip/{abs(hash(sf)) % 10**8}"
-    B.write_bronze(raw(spark, sf), path, source_file=f"{sf}/orders.parquet")
-    back = B.read_bronze(spark, path)
-    return back.select(*RAW_OUTPUT, "source_key", "month_key")
+
+def _json_lines(spark: SparkSession, sf: str) -> str:
+    """The listings as JSON lines with every seventh order's line cut short, values of
+    other types than declared, and fields beyond the declared ones."""
+    path = scratch_table(spark)
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").cast("string").alias("day"))
+    line = F.to_json(F.struct(F.concat(F.lit("L-"), F.col("o_orderkey")).alias("id_offre"), F.col("o_orderstatus").alias("source"),
+                              F.col("day").alias("date_publication"), F.col("o_orderkey").cast("string").alias("nb_postes"), F.lit("fr").alias("langue_requise"),
+                              F.col("o_orderkey").alias("champ_inconnu")))
+    cut = F.when(F.col("o_orderkey") % 7 == 0, F.substring(line, F.lit(1), F.length(line) - 3)).otherwise(line)
+    orders.select(cut.alias("value")).write.text(path)
+    return path
+
+
+def _bronze_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines accepted and rejected, with what each keeps."""
+    parsed = B.parse_json_lines(spark, _json_lines(spark, sf))
+    good = B.accepted(parsed, "reject").select(F.lit("accepte").alias("etat"), "id_offre", F.col("nb_postes").cast("double").alias("nb_postes"),
+                                               F.array_join("langue_requise", ",").alias("langues"),
+                                               F.get_json_object("listing_json", "$.champ_inconnu").alias("champ_inconnu"), F.lit(None).cast("string").alias("texte"))
+    none = [F.lit(None).cast(k).alias(c) for c, k in (("id_offre", "string"), ("nb_postes", "double"), ("langues", "string"), ("champ_inconnu", "string"))]
+    return good.unionByName(B.rejects(parsed).select(F.lit("rejete").alias("etat"), *none, "texte"))
+
+
+def _envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelope documents of up to 2,000 listings each, written as files and read back."""
+    path = scratch_table(spark)
+    orders = read_table(spark, sf, "orders")
+    listing = F.to_json(F.struct(F.concat(F.lit("L-"), F.col("o_orderkey")).alias("id_offre"), F.col("o_orderpriority").alias("secteur"),
+                                 F.col("o_custkey").cast("int").alias("nb_postes")))
+    docs = orders.groupBy(F.floor(F.col("o_orderkey") / 2000).alias("doc")).agg(F.array_join(F.collect_list(listing), ",").alias("o"))
+    text = F.concat(F.lit('{"metadata": {"partition": "x"}, "offres": ['), F.col("o"), F.lit("]}"))
+    # a file holds one document: one partition folder each
+    docs.select(text.alias("value"), "doc").write.partitionBy("doc").text(path)
+    return B.read_envelope(spark, f"{path}/*").select("id_offre", "secteur", F.col("nb_postes").cast("double").alias("nb_postes"))
+
+
+def _lake(spark: SparkSession, sf: str) -> pipeline.LakePaths:
+    """The whole batch job (P1) into a folder of this call's own."""
+    return pipeline.run(spark, raw(spark, sf), scratch_table(spark), source_file=f"{sf}/orders.parquet")
+
+
+def _lake_silver(spark: SparkSession, sf: str) -> DataFrame:
+    return as_double(pipeline.read_silver(spark, _lake(spark, sf).silver_listings).select(*SILVER_OUTPUT))
+
+
+def _lake_skills(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.read_silver(spark, _lake(spark, sf).silver_skills).select(*SKILL_COLUMNS)
+
+
+def _lake_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and a checksum column of each written gold table."""
+    paths = _lake(spark, sf)
+    out = None
+    for name, column in GOLD_SUMS.items():
+        t = spark.read.parquet(paths.gold(name))
+        one = t.agg(F.lit(name).alias("table_or"), F.count(F.lit(1)).alias("lignes"), F.sum(F.col(column).cast("double")).alias("somme")).select("table_or", "lignes", "somme")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _bundle(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each result of the analysis bundle, made from the written silver and skills."""
+    paths = _lake(spark, sf)
+    s, found = (pipeline.read_silver(spark, p) for p in (paths.silver_listings, paths.silver_skills))
+    out = None
+    for name, df in pipeline.analysis_bundle(s, found).items():
+        one = df.agg(F.lit(name).alias("resultat"), F.count(F.lit(1)).alias("lignes")).select("resultat", "lignes")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# A column of each gold table to sum, for the check of the written tables.
+GOLD_SUMS = {"top_competences": "nb_offres_mentionnent", "salaires_par_profil": "nb_offres", "offres_par_ville": "nb_offres_remote",
+             "entreprises_recruteurs": "nb_offres_publiees", "tendances_mensuelles": "nb_offres"}
 
 
 # ------------------------------------------------------------------ Spark side
@@ -147,34 +216,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "skills_long": lambda s, d: skills(s, d).select(*SKILL_COLUMNS),
     "skills_coverage": lambda s, d: extraction_report(skills(s, d)),
     "skills_by_family": lambda s, d: mentions_by_family(skills(s, d)),
-    "doc_terms": lambda s, d: document_terms(spread(read_table(s, d, "documents").select("doc_id", "text"), "doc_id"),
+    "doc_terms": lambda s, d: document_terms(read_table(s, d, "documents").select("doc_id", "text"),
                                              dictionary_from_terms(L.DOCUMENT_TERMS)),
     "gold_top_skills": gold_top,
     "gold_pay": gold_pay,
     "gold_city_month": gold_city,
     "gold_recruiters": gold_rec,
     "gold_trends": lambda s, d: as_double(gold_trends(s, d)),
-    "q1_top20": lambda s, d: I.top_skills_overall(gold_top(s, d), 20),
-    "q1_top5_profiles": lambda s, d: I.top_skills_for_profiles(gold_top(s, d)),
-    "q2_city_rank": lambda s, d: I.city_rank(gold_city(s, d, once=True)),
-    "q2_city_share": lambda s, d: I.city_share(I.city_rank(gold_city(s, d, once=True))),
-    "q2_city_vs_city": lambda s, d: I.city_vs_city(gold_city(s, d, once=True)),
-    "q3_national": lambda s, d: I.national_pay(gold_pay(s, d, once=True)),
-    "q3_national_median": lambda s, d: I.national_pay_median_of_medians(gold_pay(s, d, once=True)),
-    "q3_city_gap": lambda s, d: I.city_pay_gap(gold_pay(s, d, once=True)),
-    "q4_bands": lambda s, d: I.pay_by_experience_band(silver_once(s, d, "experience")),
-    "q4_correlation": lambda s, d: I.experience_pay_correlation(silver_once(s, d, "experience")),
-    "q4_correlation_grouped": lambda s, d: I.experience_pay_correlation_grouped(silver_once(s, d, "experience")),
-    "q5_rank": lambda s, d: I.recruiter_rank(gold_rec(s, d, once=True)),
-    "q5_competition": lambda s, d: I.city_competitors(gold_rec(s, d, once=True)),
-    "q5_competition_data": lambda s, d: I.city_competitors_with_profiles(gold_rec(s, d, once=True)),
-    "q5_rank_positions": lambda s, d: I.recruiter_rank(gold_rec(s, d, once=True), 20, method="row_number"),
-    "q2_city_pivot": lambda s, d: I.city_pivot(gold_city(s, d, once=True)),
-    "v1_city_bubbles": lambda s, d: I.city_bubbles(gold_city(s, d, once=True)),
-    "v2_top15": lambda s, d: I.top_skills_chart(gold_top(s, d)),
-    "v3_box": lambda s, d: I.pay_box_stats(silver_once(s, d, "experience")),
-    "v4_month_pivot": lambda s, d: I.monthly_profile_pivot(gold_trends(s, d, once=True), month_from=V4_MONTH_FROM,
-                                                          month_to=V4_MONTH_TO),
+    "q1_top20": lambda s, d: I.top_skills_overall(gold_total(s, d), 20),
+    "q1_top5_profiles": lambda s, d: I.top_skills_for_profiles(gold_profiles(s, d)),
+    "q2_city_rank": lambda s, d: I.city_rank(city_table(s, d)),
+    "q2_city_share": lambda s, d: I.city_share(I.city_rank(city_table(s, d))),
+    "q2_city_vs_city": lambda s, d: I.city_vs_city(city_table(s, d)),
+    "q3_national": lambda s, d: I.national_pay(pay_table(s, d)),
+    "q3_national_median": lambda s, d: I.national_pay_median_of_medians(pay_table(s, d)),
+    "q3_city_gap": lambda s, d: I.city_pay_gap(pay_table(s, d)),
+    "q4_bands": lambda s, d: I.pay_by_experience_band(counts_table(s, d)),
+    "q4_correlation": lambda s, d: I.experience_pay_correlation(counts_table(s, d)),
+    "q4_correlation_grouped": lambda s, d: I.experience_pay_correlation_grouped(counts_table(s, d)),
+    "q5_rank": lambda s, d: I.recruiter_rank(recruiters_table(s, d)),
+    "q5_competition": lambda s, d: I.city_competitors(recruiters_table(s, d)),
+    "q5_competition_data": lambda s, d: I.city_competitors_with_profiles(recruiters_table(s, d)),
+    "q5_rank_positions": lambda s, d: I.recruiter_rank(recruiters_table(s, d), 20, method="row_number"),
+    "q2_city_pivot": lambda s, d: I.city_pivot(city_table(s, d)),
+    "v1_city_bubbles": lambda s, d: I.city_bubbles(city_table(s, d)),
+    "v2_top15": lambda s, d: I.top_skills_chart(gold_total(s, d)),
+    "v3_box": lambda s, d: I.pay_box_stats(counts_table(s, d)),
+    "v4_month_pivot": lambda s, d: I.monthly_profile_pivot(trends_table(s, d), month_from=None, month_to=None),
+    "bronze_rejects": _bronze_rejects,
+    "envelope_read": _envelopes,
+    "lake_silver": _lake_silver,
+    "lake_skills": _lake_skills,
+    "lake_gold": _lake_gold,
+    "analysis_bundle": _bundle,
+    "q3_national_exact": lambda s, d: I.national_pay_exact(silver(s, d)),
+    "q3_city_gap_script": lambda s, d: I.city_pay_gap_script(pay_table(s, d)),
+    "q4_bands_code": lambda s, d: I.pay_by_experience_code(counts_table(s, d)),
+    "skill_chart_labels": lambda s, d: I.skill_chart_labels(gold_profiles(s, d)),
 }
 
 
@@ -323,7 +401,6 @@ rows_ AS (
   WHERE profil IN {lst(L.DATA_PROFILES)} AND annee IS NOT NULL AND mois IS NOT NULL AND annee != '' AND mois != ''
 )
 SELECT mois_cle, {cols} FROM rows_
-WHERE mois_cle >= {q(V4_MONTH_FROM)} AND mois_cle <= {q(V4_MONTH_TO)}
 GROUP BY mois_cle
 """)
 
@@ -331,7 +408,9 @@ GROUP BY mois_cle
 def _raw_keys_sql(select: str) -> str:
     return O.with_ctes(O.raw_cte()) + f""", keyed AS (
   SELECT *, replace(lower(coalesce(source, {q(L.BRONZE_UNKNOWN_SOURCE)})), ' ', '_') AS source_key,
-    coalesce(strftime(try_strptime(substring(date_publication, 1, 7), '%Y-%m'), '%Y_%m'), {q(L.BRONZE_UNKNOWN_MONTH)}) AS month_key
+    CASE WHEN regexp_matches(substring(date_publication, 1, 7), '^[0-9]{{4}}-(0?[1-9]|1[0-2])$')
+         THEN substring(date_publication, 1, 4) || '_' || lpad(regexp_extract(substring(date_publication, 6, 2), '[0-9]+'), 2, '0')
+         ELSE {q(L.BRONZE_UNKNOWN_MONTH)} END AS month_key
   FROM raw
 )
 {select}"""
@@ -340,7 +419,7 @@ def _raw_keys_sql(select: str) -> str:
 def _report_sql() -> str:
     return _raw_keys_sql("""SELECT CASE WHEN GROUPING(source_key) = 0 AND GROUPING(month_key) = 0 THEN 'partition'
             WHEN GROUPING(source_key) = 0 THEN 'source' WHEN GROUPING(month_key) = 0 THEN 'mois' ELSE 'total' END AS niveau,
-       source_key, month_key, COUNT(*) AS nb_offres
+       source_key, month_key, COUNT(*) AS nb_offres, COUNT(DISTINCT source_key || '/' || month_key) AS nb_fichiers
 FROM keyed GROUP BY GROUPING SETS ((source_key, month_key), (source_key), (month_key), ())""")
 
 
@@ -379,7 +458,7 @@ ORACLE: dict[str, str] = {
     "bronze_partition_keys": _raw_keys_sql("SELECT id_offre, source_key, month_key FROM keyed"),
     "bronze_report": _report_sql(),
     "bronze_partitions": _raw_keys_sql("SELECT DISTINCT source_key, month_key FROM keyed"),
-    "bronze_roundtrip": _raw_keys_sql("SELECT " + ", ".join(RAW_OUTPUT) + ", source_key, month_key FROM keyed"),
+    "bronze_roundtrip": _raw_keys_sql("SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in NULLABLE_INTS else c for c in RAW_OUTPUT) + ", source_key, month_key FROM keyed"),
     "silver_table": _silver("SELECT " + ", ".join(
         f"CAST({c} AS DOUBLE) AS {c}" if c in NULLABLE_INTS else c for c in SILVER_OUTPUT) + " FROM silver"),
     "title_profile": _silver("SELECT id_offre, titre_poste, profil_normalise FROM silver"),
@@ -518,6 +597,40 @@ FROM grid g LEFT JOIN agg a USING (profil)"""),
         f"ORDER BY nb_offres_mentionnent DESC, competence LIMIT 15"),
     "v3_box": _box_sql(),
     "v4_month_pivot": _pivot_sql(),
+    "bronze_rejects": """WITH o AS (SELECT o_orderkey AS k, '{"id_offre":"L-' || o_orderkey || '","source":"' || o_orderstatus || '","date_publication":"'
+      || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '","nb_postes":"' || o_orderkey || '","langue_requise":"fr","champ_inconnu":' || o_orderkey || '}' AS line FROM orders)
+SELECT 'accepte' AS etat, 'L-' || k AS id_offre, CAST(k AS DOUBLE) AS nb_postes, 'fr' AS langues, CAST(k AS VARCHAR) AS champ_inconnu, CAST(NULL AS VARCHAR) AS texte FROM o WHERE k % 7 <> 0
+UNION ALL SELECT 'rejete', NULL, NULL, NULL, NULL, left(line, length(line) - 3) FROM o WHERE k % 7 = 0""",
+    "envelope_read": "SELECT 'L-' || o_orderkey AS id_offre, o_orderpriority AS secteur, CAST(o_custkey AS DOUBLE) AS nb_postes FROM orders",
+    "q3_national_exact": _silver(f"""SELECT profil_normalise AS profil, COUNT(*) AS nb_offres_total, COUNT(*) FILTER (salaire_connu) AS nb_avec_salaire,
+    CAST(CAST(floor(COUNT(*) FILTER (salaire_connu) * 100.0 / COUNT(*) + 0.5) AS BIGINT) AS VARCHAR) || '%' AS pct_salaire,
+    {rhu("MEDIAN(salaire_median_mad) FILTER (salaire_connu)")} AS salaire_median_mad, {rhu("MIN(salaire_min_mad)")} AS salaire_plancher, {rhu("MAX(salaire_max_mad)")} AS salaire_plafond
+  FROM silver GROUP BY profil_normalise"""),
+    "q3_city_gap_script": _gold(f""",
+nat AS (SELECT profil, {rhu("MEDIAN(nullif(salaire_median_mad, 0))")} AS m FROM gold_pay GROUP BY profil),
+loc AS (SELECT profil, ville, type_contrat, nb_offres, coalesce(salaire_median_mad, 0) AS salaire_median_ville, salaire_q1_mad AS q1, salaire_q3_mad AS q3,
+               salaire_min_observe AS sal_min, salaire_max_observe AS sal_max FROM gold_pay WHERE ville = 'Tanger' AND nb_offres >= 5)
+SELECT loc.*, coalesce(nat.m, 0) AS mediane_nationale, salaire_median_ville - coalesce(nat.m, 0) AS ecart_vs_national,
+  CASE WHEN salaire_median_ville >= coalesce(nat.m, 0) THEN '+' ELSE '-' END || format('{{:,}}', CAST(abs(salaire_median_ville - coalesce(nat.m, 0)) AS BIGINT)) AS ecart_texte
+FROM loc LEFT JOIN nat USING (profil) ORDER BY salaire_median_ville DESC, profil, type_contrat LIMIT 10"""),
+    "skill_chart_labels": _gold("""SELECT profil, famille, competence, nb_offres_mentionnent, replace(replace(profil, 'Développeur ', 'Dev. '), 'Chef de Projet IT', 'Chef Proj. IT') AS libelle_profil,
+  array_to_string(list_transform(string_split(famille, '_'), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS libelle_famille
+FROM gold_top WHERE profil <> '""" + L.TOTAL_PROFILE_LABEL + "'"),
+    "lake_gold": _gold("""SELECT 'top_competences' AS table_or, COUNT(*) AS lignes, CAST(SUM(nb_offres_mentionnent) AS DOUBLE) AS somme FROM gold_top
+UNION ALL SELECT 'salaires_par_profil', COUNT(*), CAST(SUM(nb_offres) AS DOUBLE) FROM gold_pay
+UNION ALL SELECT 'offres_par_ville', COUNT(*), CAST(SUM(nb_offres_remote) AS DOUBLE) FROM gold_city
+UNION ALL SELECT 'entreprises_recruteurs', COUNT(*), CAST(SUM(nb_offres_publiees) AS DOUBLE) FROM gold_rec
+UNION ALL SELECT 'tendances_mensuelles', COUNT(*), CAST(SUM(nb_offres) AS DOUBLE) FROM gold_trends"""),
 }
+# written tables against the definitions
+ORACLE["lake_silver"], ORACLE["lake_skills"] = ORACLE["silver_table"], ORACLE["skills_long"]
+ORACLE["q4_bands_code"] = (f"SELECT b.*, CAST(list_position([{', '.join(q(b) for b in L.EXPERIENCE_BANDS)}], tranche_experience) AS INTEGER) AS code_experience "
+                           f"FROM ({ORACLE['q4_bands']}) b")
+# rows of the eight results
+_rows = lambda name, key: f"SELECT '{name}' AS resultat, COUNT(*) AS lignes FROM ({ORACLE[key]})"
+ORACLE["analysis_bundle"] = " UNION ALL ".join(_rows(n, k) for n, k in (
+    ("q1_top_competences_global", "q1_top20"), ("q1_top_competences_data", "q1_top5_profiles"), ("q2_villes_comparaison", "q2_city_pivot"),
+    ("q3_salaires_national", "q3_national_median"), ("q3_salaires_ville", "q3_city_gap_script"), ("q4_correlation_experience", "q4_bands"),
+    ("q5_top_recruteurs", "q5_rank_positions"), ("q5_concurrents_ville", "q5_competition_data")))
 
 assert set(ORACLE) == set(QUERIES), set(ORACLE) ^ set(QUERIES)

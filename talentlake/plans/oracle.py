@@ -17,6 +17,10 @@ WORD = r"[\p{L}\p{N}_]"
 NONWORD = r"[^\p{L}\p{N}_]"
 
 
+# White space as Python has it, spelled out for RE2, whose \\s is ASCII.
+SPACE = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
 def q(text: str) -> str:
     """SQL string literal."""
     return "'" + text.replace("'", "''") + "'"
@@ -46,7 +50,7 @@ def _title_case(col: str) -> str:
 
 
 def _py_strip(col: str) -> str:
-    return f"regexp_replace({col}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({col}, '^{SPACE}+|{SPACE}+$', '', 'g')"
 
 
 def rhu(expr: str, digits: int = 0) -> str:
@@ -61,11 +65,11 @@ def pct(part: str, whole: str, digits: int = 1) -> str:
 
 # ------------------------------------------------------------------ CTEs
 def raw_cte() -> str:
-    view = LISTINGS_VIEW_SQL.replace("{orders}", "orders").replace("{customer}", "customer")
+    view = LISTINGS_VIEW_SQL.replace("{orders}", "orders")
     cols = ",\n    ".join(f"{v} AS {r}" for v, r in VIEW_TO_RAW.items())
     return (f"fixture_view AS ({view}),\n"
-            f"raw AS (SELECT\n    {cols},\n    CAST(NULL AS VARCHAR) AS niveau_etudes, CAST(NULL AS VARCHAR) AS secteur,\n"
-            f"    CAST(NULL AS INTEGER) AS nb_postes, CAST(NULL AS VARCHAR[]) AS langue_requise\n  FROM fixture_view)")
+            f"raw AS (SELECT\n    {cols},\n    CASE WHEN starts_with(languages_text, '[') THEN CAST(CAST(languages_text AS JSON) AS VARCHAR[])\n"
+            f"         WHEN languages_text IS NOT NULL THEN [languages_text] END AS langue_requise\n  FROM fixture_view)")
 
 
 def _title_case_sql() -> str:
@@ -96,8 +100,8 @@ def _experience_sql(which: int) -> str:
     for needles, kmin, kmax in L.EXPERIENCE_KEYWORDS:
         val = kmin if which == 1 else kmax
         parts.append(f"WHEN {_contains_any('_e', needles)} THEN {'NULL' if val is None else val}")
-    rng = q(L.EXPERIENCE_RANGE)
-    one = q(L.EXPERIENCE_MIN_ONLY)
+    rng = q(L.EXPERIENCE_RANGE.replace(r"\s", SPACE))
+    one = q(L.EXPERIENCE_MIN_ONLY.replace(r"\s", SPACE))
     if which == 1:
         parts.append(f"WHEN regexp_matches(_e, {rng}) THEN TRY_CAST(regexp_extract(_e, {rng}, 1) AS INTEGER)")
         parts.append(f"WHEN regexp_matches(_e, {one}) THEN TRY_CAST(regexp_extract(_e, {one}, 1) AS INTEGER)")
@@ -107,6 +111,12 @@ def _experience_sql(which: int) -> str:
     return f"CAST(CASE WHEN _e IS NULL THEN NULL\n      {body}\n      ELSE NULL END AS INTEGER)"
 
 
+def _day_sql(col: str) -> str:
+    """A four-digit year, then month and day of one or two digits, cut apart and put together."""
+    part = [f"try_cast(regexp_extract(substring({col}, 1, 10), '^([0-9]{{4}})-([0-9]{{1,2}})-([0-9]{{1,2}})$', {i}) AS INTEGER)" for i in (1, 2, 3)]
+    return f"try_cast(printf('%04d-%02d-%02d', {part[0]}, {part[1]}, {part[2]}) AS DATE)"
+
+
 def silver_cte() -> str:
     sentinels = lst(L.PAY_SENTINELS)
     eur = _contains_any("_p1", L.PAY_CURRENCY_MARKERS_EUR)
@@ -124,8 +134,8 @@ def silver_cte() -> str:
     lower({_py_strip('ville')}) AS _c,
     {_py_strip('ville')} AS _cs,
     lower(type_contrat) AS _k,
-    try_strptime(substring(date_publication, 1, 10), '%Y-%m-%d') AS _dp,
-    try_strptime(substring(date_expiration, 1, 10), '%Y-%m-%d') AS _de
+    {_day_sql('date_publication')} AS _dp,
+    {_day_sql('date_expiration')} AS _de
   FROM raw
 ),
 s2 AS (
@@ -134,7 +144,8 @@ s2 AS (
 s3 AS (
   SELECT *,
     array_to_string(list_transform(string_split_regex(_p2, {kpat}),
-      lambda piece, i: piece || coalesce(CAST(CAST(trunc(CAST(regexp_extract_all(_p2, {kpat}, 1)[i] AS DOUBLE) * 1000.0) AS BIGINT) AS VARCHAR), '')), '') AS _p3
+      lambda piece, i: piece || CASE WHEN i > len(regexp_extract_all(_p2, {kpat}, 1)) THEN '' ELSE
+        CAST(CAST(least(trunc(CAST(regexp_extract_all(_p2, {kpat}, 1)[i] AS DOUBLE) * 1000.0), 1e18) AS HUGEINT) AS VARCHAR) END), '') AS _p3
   FROM s2
 ),
 s4 AS (
@@ -197,15 +208,13 @@ skill_lists AS (
   SELECT *, {_skill_slots(dictionary, 'txt')} AS found FROM skill_text
 ),
 skill_hits AS (
-  SELECT id_offre, h.competence AS competence, h.famille AS famille
-  FROM (SELECT id_offre, unnest(found) AS h FROM skill_lists) u
+  SELECT * EXCLUDE (found), unnest(CASE WHEN len(found) = 0 THEN [{{'competence': {q(L.SKILL_SENTINEL)}, 'famille': {q(L.FAMILY_SENTINEL)}}}] ELSE found END) AS h
+  FROM skill_lists
 ),
 skills AS (
-  SELECT t.id_offre, t.profil_normalise AS profil, t.ville_std AS ville,
-         coalesce(h.competence, {q(L.SKILL_SENTINEL)}) AS competence,
-         coalesce(h.famille, {q(L.FAMILY_SENTINEL)}) AS famille,
-         t.date_publication AS date_pub, t.annee, t.mois, t.type_contrat_std AS type_contrat, t.salaire_connu
-  FROM skill_text t LEFT JOIN skill_hits h ON t.id_offre = h.id_offre
+  SELECT id_offre, profil_normalise AS profil, ville_std AS ville, h.competence AS competence, h.famille AS famille,
+         date_publication AS date_pub, annee, mois, type_contrat_std AS type_contrat, salaire_connu
+  FROM skill_hits
 )"""
 
 

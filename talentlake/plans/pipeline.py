@@ -4,22 +4,30 @@ Each stage can run alone and reads its input from the lake, so a failed
 run resumes at the stage that failed. Silver and skills are written as
 Parquet and read back before the gold stage: the written table cuts the
 lineage (a lost executor recomputes from the table, not from raw JSON),
-and five gold tables share one scan of it instead of five re-parses.
+and each of the five gold jobs scans its own columns of it instead of
+parsing again. Silver and skills are partitioned by publication month, so a
+run may be limited to some months: it reads and replaces these alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from talentlake import lexicons as L
 from talentlake.operators import gold as G
 from talentlake.operators.silver import to_silver
 from talentlake.operators.skills import Dictionary, extract_skills
 from talentlake.sources import bronze as B
 from talentlake.sources.files import export_json, read_table, write_table
 
+# Silver and skills are partitioned by bronze's month key, so that a replayed month of
+# bronze is one partition here, undated listings included.
+MONTH = "mois_cle"
 STAGES = ("bronze", "silver", "gold")
 GOLD_TABLES = ("top_competences", "salaires_par_profil", "offres_par_ville", "entreprises_recruteurs",
                "tendances_mensuelles")
@@ -37,6 +45,10 @@ class LakePaths:
     def ingestion_report(self) -> str:
         return f"{self.root}/bronze_report"
 
+    @property
+    def bronze_metadata(self) -> str:
+        return f"{self.root}/bronze_metadata"
+
     @property
     def silver_listings(self) -> str:
         return f"{self.root}/silver/offres_clean"
@@ -50,17 +62,35 @@ class LakePaths:
 
 
 def run_bronze(raw: DataFrame, paths: LakePaths, source_file: str = "") -> None:
-    """Land the raw listings, then write this ingestion's report (rows per
-    source / month / partition / total; one aggregation over the input)."""
+    """Land the raw listings, then write the report and the partitions' metadata
+    from what was landed (the input is evaluated once)."""
     B.write_bronze(raw, paths.bronze, source_file)
-    export_json(B.ingestion_report(B.with_partition_keys(raw)), paths.ingestion_report)
-
-
-def run_silver(spark: SparkSession, paths: LakePaths, dictionary: Dictionary | None = None) -> None:
-    bronze = B.read_bronze(spark, paths.bronze).drop(*B.BRONZE_META_COLUMNS, "source_key", "month_key")
-    write_table(to_silver(bronze), paths.silver_listings)
-    silver = read_table(spark, paths.silver_listings)
-    write_table(extract_skills(silver, dictionary), paths.silver_skills)
+    landed = B.read_bronze(raw.sparkSession, paths.bronze)
+    export_json(B.ingestion_report(landed), paths.ingestion_report)
+    export_json(B.partition_metadata(landed), paths.bronze_metadata)
+
+
+def run_silver(spark: SparkSession, paths: LakePaths, dictionary: Dictionary | None = None,
+               months: Sequence[str] | None = None) -> None:
+    """Silver and skills from bronze. months: ``YYYY_MM`` keys of bronze to (re)do, all
+    if None; ``date_inconnue`` stands for listings without a month."""
+    bronze = B.read_bronze(spark, paths.bronze)
+    if months is not None:
+        bronze = bronze.where(F.col("month_key").isin(list(months)))
+    bronze = bronze.drop(*B.BRONZE_META_COLUMNS, B.RAW_JSON, "source_key", "month_key")
+    whole = months is None
+    silver = to_silver(bronze).withColumn(MONTH, B.month_key(F.col("date_publication")))
+    write_table(silver, paths.silver_listings, [MONTH], whole)
+    skills = extract_skills(read_silver(spark, paths.silver_listings, months), dictionary)
+    write_table(skills.withColumn(MONTH, B.month_key(F.col("date_pub"))), paths.silver_skills, [MONTH], whole)
+
+
+def read_silver(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
+    """Silver or skills; ``months`` prunes to their partitions."""
+    table = read_table(spark, path)
+    if months is not None:
+        table = table.where(F.col(MONTH).isin(list(months)))
+    return table.drop(MONTH)
 
 
 def build_gold(silver: DataFrame, skills: DataFrame) -> dict[str, DataFrame]:
@@ -78,8 +108,8 @@ def run_gold(spark: SparkSession, paths: LakePaths, concurrent: bool = True) ->
     silver tables, so by default they are submitted together from a small
     thread pool and the scheduler overlaps their stages (each job still
     runs on the whole cluster; a failure in one is re-raised)."""
-    silver = read_table(spark, paths.silver_listings)
-    skills = read_table(spark, paths.silver_skills)
+    silver = read_silver(spark, paths.silver_listings)
+    skills = read_silver(spark, paths.silver_skills)
     tables = build_gold(silver, skills)
     if not concurrent:
         for name, df in tables.items():
@@ -92,7 +122,7 @@ def run_gold(spark: SparkSession, paths: LakePaths, concurrent: bool = True) ->
 
 
 def run(spark: SparkSession, raw: DataFrame | None, root: str, stages=STAGES, source_file: str = "",
-        dictionary: Dictionary | None = None) -> LakePaths:
+        dictionary: Dictionary | None = None, months: Sequence[str] | None = None) -> LakePaths:
     """Run the selected stages in order; ``raw`` is needed for bronze only."""
     paths = LakePaths(root.rstrip("/"))
     for stage in stages:
@@ -101,7 +131,7 @@ def run(spark: SparkSession, raw: DataFrame | None, root: str, stages=STAGES, so
                 raise ValueError("bronze stage needs the raw listings")
             run_bronze(raw, paths, source_file)
         elif stage == "silver":
-            run_silver(spark, paths, dictionary)
+            run_silver(spark, paths, dictionary, months)
         elif stage == "gold":
             run_gold(spark, paths)
         else:
@@ -119,7 +149,7 @@ def analysis_bundle(silver: DataFrame, skills: DataFrame, city: str = "Tanger")
         "q1_top_competences_data": I.top_skills_for_profiles(gold["top_competences"]),
         "q2_villes_comparaison": I.city_pivot(gold["offres_par_ville"], city=city),
         "q3_salaires_national": I.national_pay_median_of_medians(gold["salaires_par_profil"]),
-        "q3_salaires_ville": I.city_pay_gap(gold["salaires_par_profil"], city=city, top=10, null_as_zero=True),
+        "q3_salaires_ville": I.city_pay_gap_script(gold["salaires_par_profil"], city=city),
         "q4_correlation_experience": I.pay_by_experience_band(silver),
         "q5_top_recruteurs": I.recruiter_rank(gold["entreprises_recruteurs"], 20, method="row_number"),
         "q5_concurrents_ville": I.city_competitors_with_profiles(gold["entreprises_recruteurs"], city=city),

@@ -38,17 +38,23 @@ ENVELOPE_METADATA = T.StructType([
     T.StructField("nb_offres", T.LongType()),
     T.StructField("schema_version", T.StringType()),
 ])
+# Listings stay JSON text here: each is read on its own, so that one bad listing
+# does not take the document with it.
 ENVELOPE = T.StructType([
     T.StructField("metadata", ENVELOPE_METADATA),
-    T.StructField("offres", T.ArrayType(RAW_LISTING)),
+    T.StructField("offres", T.ArrayType(T.StringType())),
 ])
 
+# The listing as it arrived, as JSON text: fields outside the 17 and values of
+# another type than declared are in it.
+RAW_JSON = "listing_json"
+
 # Bronze = raw listing + landing metadata + the two partition keys.
 BRONZE_META_COLUMNS = ["source_fichier", "date_ingestion", "schema_version"]
 BRONZE_PARTITION_COLUMNS = ["source_key", "month_key"]
 BRONZE = T.StructType(
     RAW_LISTING.fields
-    + [T.StructField(c, T.StringType()) for c in BRONZE_META_COLUMNS]
+    + [T.StructField(c, T.StringType()) for c in [RAW_JSON, *BRONZE_META_COLUMNS]]
     + [T.StructField(c, T.StringType()) for c in BRONZE_PARTITION_COLUMNS]
 )
 

@@ -7,6 +7,7 @@ when the session runs in local mode and the setting is unset (tests).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -23,10 +24,6 @@ CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
-    # The silver table is a chain of projections over large CASE/regex
-    # expressions; inferring constraints through it costs optimizer time
-    # and buys nothing (no join keys there).
-    "spark.sql.constraintPropagation.enabled": "false",
     # Checkpoint files of a DataFrame are removed once it is unreachable.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -74,6 +71,29 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/") if sc.getCheckpointDir() else path
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def scratch_table(spark: SparkSession) -> str:
+    """A folder name of its own in the shared folder; what is written there is removed
+    when the driver ends."""
+    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    _scratch.append((spark, path))
+    return path
+
+
+@atexit.register
+def remove_scratch() -> None:
+    for spark, path in _scratch:
+        try:
+            sc = spark.sparkContext
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session or the folder is gone already
+            pass
+    _scratch.clear()
+
+
 def lake_root(spark: SparkSession) -> str:
     """Root of the lake (bronze/silver/gold): ``talentlake.lake.root`` if set,
     else a ``lake`` folder inside the shared checkpoint folder."""
@@ -99,6 +119,6 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     columns.)"""
     spark = df.sparkSession
     if path is None:
-        path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+        path = scratch_table(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -13,9 +13,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talentlake import lexicons as L
-from talentlake.schema import BRONZE, BRONZE_META_COLUMNS, BRONZE_PARTITION_COLUMNS, ENVELOPE, RAW_COLUMNS
+from talentlake.functions.normalize import text_or_list
+from talentlake.schema import (
+    BRONZE, BRONZE_META_COLUMNS, BRONZE_PARTITION_COLUMNS, ENVELOPE, RAW_COLUMNS, RAW_JSON, RAW_LISTING,
+)
 
 
 def source_key(source: Column) -> Column:
@@ -24,8 +28,9 @@ def source_key(source: Column) -> Column:
 
 
 def month_key(pub_date: Column) -> Column:
-    """First 7 characters parsed as year-month -> ``YYYY_MM``; else ``date_inconnue``."""
-    parsed = F.try_to_timestamp(F.substring(pub_date, 1, 7), F.lit("y-M"))
+    """First 7 characters, a four-digit year and a month -> ``YYYY_MM``; else ``date_inconnue``."""
+    month = F.substring(pub_date, 1, 7)
+    parsed = F.when(month.rlike("^[0-9]{4}-[0-9]{1,2}$"), F.try_to_timestamp(month, F.lit("y-M")))
     return F.coalesce(F.date_format(parsed, "yyyy_MM"), F.lit(L.BRONZE_UNKNOWN_MONTH))
 
 
@@ -37,28 +42,86 @@ def with_partition_keys(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_envelope(spark: SparkSession, path: str) -> DataFrame:
-    """Envelope documents ``{"metadata": {...}, "offres": [...]}`` -> raw
-    listings (a missing ``offres`` array gives no rows). Each file is one
-    JSON document, so one file is one task."""
-    docs = spark.read.schema(ENVELOPE).option("multiLine", True).json(path)
-    return docs.select(F.explode("offres").alias("o")).select("o.*")
+CORRUPT = "_corrupt"
 
 
-def read_raw_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw listings stored one JSON object per line (splittable)."""
-    return spark.read.schema(ENVELOPE["offres"].dataType.elementType).json(path)
+def parsed_listings(texts: DataFrame) -> DataFrame:
+    """``listing_json`` texts -> raw listing columns, ``listing_json`` and ``_corrupt``:
+    the text where it is not one JSON object, else NULL.
 
+    Every field is read as text and then cast, so a value of another type than
+    declared (``"nb_postes": "3"``) is kept where it can be, and the listing itself
+    always is. A language list may also be one plain text."""
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_LISTING.fields] + [T.StructField(CORRUPT, T.StringType())])
+    x = texts.withColumn("_p", F.from_json(RAW_JSON, as_text, {"columnNameOfCorruptRecord": CORRUPT}))
+    whole = F.trim(F.col(RAW_JSON)).startswith("{")
+    cols = []
+    for f in RAW_LISTING.fields:
+        value = F.col(f"_p.{f.name}")
+        cols.append((text_or_list(value) if isinstance(f.dataType, T.ArrayType) else value.try_cast(f.dataType)).alias(f.name))
+    corrupt = F.when(F.col(f"_p.{CORRUPT}").isNotNull() | ~F.coalesce(whole, F.lit(False)), F.coalesce(F.col(RAW_JSON), F.lit("")))
+    kept = [c for c in texts.columns if c != RAW_JSON]
+    return x.select(*cols, RAW_JSON, corrupt.alias(CORRUPT), *kept)
 
-def write_bronze(raw: DataFrame, bronze_path: str, source_file: str = "") -> None:
+
+def accepted(parsed: DataFrame, on_error: str) -> DataFrame:
+    """Parsed rows without the corrupt ones (``on_error="reject"``; ``rejects`` has
+    them), or an error at the first one (``"fail"``)."""
+    if on_error == "reject":
+        return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    if on_error != "fail":
+        raise ValueError("on_error must be 'fail' or 'reject'")
+    bad = F.concat(F.lit("not a JSON listing: "), F.substring(CORRUPT, 1, 200))
+    checked = F.when(F.col(CORRUPT).isNotNull(), F.raise_error(bad)).otherwise(F.col(RAW_JSON))
+    return parsed.withColumn(RAW_JSON, checked).drop(CORRUPT)
+
+
+def rejects(parsed: DataFrame) -> DataFrame:
+    """The corrupt rows: ``texte``, and what else the reader carries (``fichier``)."""
+    return parsed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("texte"), *[c for c in parsed.columns if c == "fichier"])
+
+
+def parse_envelopes(spark: SparkSession, path: str) -> DataFrame:
+    """Envelope documents ``{"metadata": {...}, "offres": [...]}``, one a file, to
+    parsed listings. A missing ``offres`` array gives no rows; a document that is
+    not JSON is one corrupt row."""
+    docs = spark.read.text(path, wholetext=True).select(F.col("value"), F.col("_metadata.file_path").alias("fichier"))
+    shape = T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())])
+    x = docs.withColumn("_d", F.from_json("value", shape, {"columnNameOfCorruptRecord": CORRUPT}))
+    broken = F.col(f"_d.{CORRUPT}").isNotNull() | ~F.trim("value").startswith("{")
+    texts = F.when(broken, F.array(F.col("value"))).otherwise(F.coalesce(F.col("_d.offres"), F.array().cast("array<string>")))
+    parsed = parsed_listings(x.select("fichier", broken.alias("_broken"), F.explode(texts).alias(RAW_JSON)))
+    return parsed.withColumn(CORRUPT, F.when(F.col("_broken"), F.col(RAW_JSON)).otherwise(F.col(CORRUPT))).drop("_broken")
+
+
+def read_envelope(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:
+    """Raw listings (and ``listing_json``) of envelope documents."""
+    return accepted(parse_envelopes(spark, path).drop("fichier"), on_error)
+
+
+def parse_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One listing a line (splittable) to parsed listings; blank lines are none."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return parsed_listings(lines.select(F.col("value").alias(RAW_JSON), F.col("_metadata.file_path").alias("fichier")))
+
+
+def read_raw_json_lines(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:
+    """Raw listings (and ``listing_json``) stored one JSON object a line."""
+    return accepted(parse_json_lines(spark, path).drop("fichier"), on_error)
+
+
+def write_bronze(raw: DataFrame, bronze_path: str, source_file: str = "", codec: str = "gzip") -> None:
     """Land raw listings (unmodified) with metadata, partitioned by
     (source_key, month_key); only the partitions present are replaced.
 
     ``REBALANCE(source_key, month_key)`` groups rows of a partition into few
     files while AQE splits a hot partition (e.g. one source holding a third
-    of all rows) over several tasks instead of one."""
+    of all rows) over several tasks instead of one. Files are compressed with
+    ``codec``; several files a partition keep them splittable enough."""
+    as_json = F.col(RAW_JSON) if RAW_JSON in raw.columns else F.lit(None).cast("string")
     keyed = with_partition_keys(raw).select(
         *[F.col(c) for c in RAW_COLUMNS],
+        as_json.alias(RAW_JSON),
         F.lit(source_file).alias("source_fichier"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("date_ingestion"),
         F.lit(L.BRONZE_SCHEMA_VERSION).alias("schema_version"),
@@ -68,6 +131,7 @@ def write_bronze(raw: DataFrame, bronze_path: str, source_file: str = "") -> Non
         keyed.hint("rebalance", *BRONZE_PARTITION_COLUMNS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", codec)
         .partitionBy(*BRONZE_PARTITION_COLUMNS)
         .json(bronze_path)
     )
@@ -75,21 +139,38 @@ def write_bronze(raw: DataFrame, bronze_path: str, source_file: str = "") -> Non
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """All bronze partitions (declared schema; partition keys from the
-    directory names, so filters on them prune directories)."""
-    return spark.read.schema(BRONZE).json(bronze_path)
+    directory names, so filters on them prune directories). A line that is not
+    JSON stops the job: bronze was written by ``write_bronze`` alone."""
+    return spark.read.schema(BRONZE).option("mode", "FAILFAST").json(bronze_path)
 
 
-def ingestion_report(keyed: DataFrame) -> DataFrame:
-    """Rows per (source, month), per source, per month and in total.
+def partition_metadata(landed: DataFrame) -> DataFrame:
+    """Landing metadata of each partition (S3): its name, listings, source file,
+    ingestion time and schema version, from what was landed."""
+    return landed.groupBy("source_key", "month_key").agg(
+        F.max("source_fichier").alias("source_fichier"),
+        F.max("date_ingestion").alias("date_ingestion"),
+        F.count(F.lit(1)).alias("nb_offres"),
+        F.max("schema_version").alias("schema_version"),
+    ).select(F.concat_ws("/", "source_key", "month_key").alias("partition"), "source_key", "month_key", "nb_offres",
+             "source_fichier", "date_ingestion", "schema_version")
+
 
-    One aggregation with grouping sets; ``niveau`` names the level. The
-    number of files written is the number of ``partition`` rows."""
-    g = keyed.groupingSets(
+def ingestion_report(keyed: DataFrame) -> DataFrame:
+    """Listings and partition files per (source, month), per source, per month and
+    in total (S5); ``niveau`` names the level. Where the input has an ingestion
+    time, the latest is given. Rows are counted once per partition; the levels
+    sum those counts."""
+    times = [F.max("date_ingestion").alias("date_ingestion")] if "date_ingestion" in keyed.columns else []
+    each = keyed.groupBy("source_key", "month_key").agg(F.count(F.lit(1)).alias("n"), *times)
+    g = each.groupingSets(
         [["source_key", "month_key"], ["source_key"], ["month_key"], []], "source_key", "month_key"
     ).agg(
-        F.count(F.lit(1)).alias("nb_offres"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("nb_offres"),
+        F.count(F.lit(1)).alias("nb_fichiers"),
         F.grouping("source_key").alias("_gs"),
         F.grouping("month_key").alias("_gm"),
+        *times,
     )
     level = (
         F.when((F.col("_gs") == 0) & (F.col("_gm") == 0), F.lit("partition"))
@@ -97,7 +178,7 @@ def ingestion_report(keyed: DataFrame) -> DataFrame:
         .when(F.col("_gm") == 0, F.lit("mois"))
         .otherwise(F.lit("total"))
     )
-    return g.select(level.alias("niveau"), "source_key", "month_key", "nb_offres").orderBy(
+    return g.select(level.alias("niveau"), "source_key", "month_key", "nb_offres", "nb_fichiers", *[c for c in ("date_ingestion",) if times]).orderBy(
         "niveau", F.asc_nulls_last("source_key"), F.asc_nulls_last("month_key"))
 
 
@@ -108,5 +189,6 @@ def list_partitions(keyed: DataFrame) -> DataFrame:
 
 __all__ = [
     "source_key", "month_key", "with_partition_keys", "read_envelope", "read_raw_json_lines",
+    "parsed_listings", "parse_envelopes", "parse_json_lines", "rejects", "partition_metadata",
     "write_bronze", "read_bronze", "ingestion_report", "list_partitions", "BRONZE_META_COLUMNS",
 ]

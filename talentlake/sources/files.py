@@ -3,6 +3,8 @@ JSON exports."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from talentlake.schema import COMPANIES
@@ -13,10 +15,17 @@ def read_companies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=COMPANIES)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Parquet sink (snappy is Spark's default codec); whole-table overwrite
-    through the commit protocol."""
-    df.write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), whole: bool = True) -> None:
+    """Parquet sink (snappy is Spark's default codec) through the commit protocol:
+    the whole table is replaced, or with ``whole=False`` only the partitions present.
+
+    ``REBALANCE`` by the partition columns gives few files a partition, and lets AQE
+    split a large one over several tasks."""
+    if not partitions:
+        df.write.mode("overwrite").parquet(path)
+        return
+    writer = df.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions)
+    writer.option("partitionOverwriteMode", "static" if whole else "dynamic").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

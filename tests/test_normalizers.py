@@ -22,6 +22,13 @@ TITLE_CASES = [
 ]
 
 
+def _dates(pub, exp):
+    """The date columns of silver, from two texts."""
+    from talentlake.operators.silver import date_columns
+
+    return F.struct(*date_columns(N.parse_day(pub), N.parse_day(exp)))
+
+
 def one(spark, value, expr, schema="v string"):
     return spark.createDataFrame([(value,)], schema).select(expr(F.col("v")).alias("r")).first()["r"]
 
@@ -39,7 +46,8 @@ PAY_CASES = [
     ("15-20K", None, None, False), ("15K 20K", None, None, False), ("5,000 MAD", None, None, False),
     ("5000-3500", 3500.0, 5000.0, True), ("150000 MAD", None, None, False),
     ("Confidentiel", None, None, False), ("Selon profil", None, None, False), (None, None, None, False),
-    ("15.5k-20k", 15500.0, 20000.0, True), ("10 000 – 12 000 MAD", 10000.0, 12000.0, True),
+    ("99999999999999999999k", None, None, False), ("1" + "0" * 400 + "k-4000", None, None, False), ("9" * 400, None, None, False),
+    ("99999999999999999999 EUR", None, None, False), ("15.5k-20k", 15500.0, 20000.0, True), ("10 000 – 12 000 MAD", 10000.0, 12000.0, True),
 ]
 
 
@@ -53,7 +61,7 @@ EXP_CASES = [
     ("Débutant accepté", 0, 2), ("0-1 an", 0, 2), ("10-12 ans", 0, 2), ("1-3 ans", 1, 3), ("3 à 5 ans", 3, 5),
     ("5/8 ans", 5, 8), ("min 3 ans", 3, None), ("3 years", 3, None), ("Senior (5+ ans)", 5, None),
     ("Senior confirmé", 8, None), ("8+ ans", 8, None), ("à discuter", None, None), (None, None, None),
-    ("Lead developer", 5, None), ("Senior (7+ ans)", 5, None),
+    ("3\u00a0à\u00a05 ans", 3, 5), ("min 4\u202fans", 4, None), ("99999999999999999999 ans", None, None), ("Lead developer", 5, None), ("Senior (7+ ans)", 5, None),
 ]
 
 
@@ -96,7 +104,7 @@ def test_contract(spark, text, want):
 def test_dates(spark):
     rows = [("2024-01-05", "2024-01-05"), ("2024-01-05", "2024-02-01"), ("n/a", "2024-02-01"), (None, None),
             ("2024-1-5", "2024-01-04")]
-    df = spark.createDataFrame(rows, "p string, e string").select(N.dates_struct(F.col("p"), F.col("e")).alias("d"))
+    df = spark.createDataFrame(rows, "p string, e string").select(_dates(F.col("p"), F.col("e")).alias("d"))
     got = [tuple(r.d) for r in df.collect()]
     assert got == [
         ("2024-01-05", "2024-01-05", "2024", "01", False),
@@ -120,3 +128,24 @@ def test_experience_band_and_competition(spark):
 def test_remote_predicate(spark):
     df = spark.createDataFrame([("TÉLÉTRAVAIL complet",), ("Hybride",), ("Présentiel",), (None,)], "t string")
     assert [r.r for r in df.select(N.is_remote(F.col("t")).alias("r")).collect()] == [True, True, False, False]
+
+
+@pytest.mark.parametrize("text,want", [
+    ("2024-1-5", "2024-01-05"), ("2024-01-05T10:00:00", "2024-01-05"), ("24-01-05", None), ("12024-01-1", None), ("2024-13-01", None),
+    ("2024-02-30", None), ("02024-1-1", None), ("", None), (None, None), ("2024/01/05", None)])
+def test_dates_need_four_digit_years(spark, text, want):
+    got = one(spark, text, N.parse_day)
+    assert (got and got.isoformat()) == want
+
+
+@pytest.mark.parametrize("text,want", [("2024-01-05", "2024_01"), ("2024-1", "2024_01"), ("24-01-05", "date_inconnue"), ("12024-01-1", "date_inconnue"),
+                                       ("2024-13-01", "date_inconnue"), (None, "date_inconnue")])
+def test_month_keys(spark, text, want):
+    from talentlake.sources.bronze import month_key
+
+    assert one(spark, text, month_key) == want
+
+
+@pytest.mark.parametrize("text,want", [('["a", "b"]', ["a", "b"]), ("a, b", ["a, b"]), (None, None), ("[]", []), ("", [""])])
+def test_languages_as_list_or_text(spark, text, want):
+    assert one(spark, text, N.text_or_list) == want

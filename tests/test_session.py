@@ -1,5 +1,4 @@
-from talentlake.session import materialize, shared_dir
-from talentlake.sources.listings import spread
+from talentlake.session import materialize, scratch_table, shared_dir
 
 
 def test_shared_dir_comes_from_session(spark):
@@ -15,8 +14,6 @@ def test_materialize_writes_under_shared_dir(spark):
     assert sorted(r.k for r in out.collect()) == list(range(10))
 
 
-def test_spread_is_noop_on_wide_input(spark):
-    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread(wide, "id") is wide
-    narrow = spark.range(0, 1000, numPartitions=1)
-    assert spread(narrow, "id").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+def test_scratch_folders_differ(spark):
+    a, b = scratch_table(spark), scratch_table(spark)
+    assert a != b and a.startswith(shared_dir(spark))
