@@ -25,13 +25,25 @@ WITH word AS (SELECT '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS re),
      m AS (SELECT p.doc_id, p.pos, x.size, array_to_string(list_slice(p.w, p.pos, p.pos + x.size - 1), ' ') AS win
            FROM p, (SELECT DISTINCT size FROM bw) x WHERE p.pos + x.size - 1 <= len(p.w)),
      f AS (SELECT m.doc_id, m.pos, m.size, bw.item_id FROM m JOIN bw ON m.win = bw.win AND m.size = bw.size),
-     h AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS at FROM f) GROUP BY doc_id),
+     h AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS spot FROM f) GROUP BY doc_id),
      i AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM (SELECT DISTINCT doc_id, item_id FROM f) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
+OP7 = """
+WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS x FROM documents),
+     p AS (SELECT doc_id, unnest(range(0, n)) AS pos, unnest(list_transform(range(0, n), lambda i: substr(x, 2 * i + 1, 100))) AS win FROM d),
+     l AS (SELECT doc_id, pos, left(win, 2) AS byte, length(win) = 100 AND min(doc_id) OVER (PARTITION BY win) < doc_id AS later FROM p),
+     g AS (SELECT *, coalesce(max(CASE WHEN later THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos) >= pos - 49, false) AS gone FROM l),
+     s AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens FROM g),
+     k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans, string_agg(byte, '' ORDER BY pos) FILTER (NOT gone) AS kept FROM s GROUP BY doc_id)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(k.n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(k.kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
 OP9 = rf"""
 WITH a AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
      b AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h FROM a),
@@ -44,4 +56,4 @@ SELECT c.page_id, c.host, c.path, f.rule,
 FROM c LEFT JOIN f USING (page_id)
 """
 
-ORACLE = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op9_url_filters": OP9}
+ORACLE = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op7_suffix_dedup": OP7, "op9_url_filters": OP9}

@@ -75,6 +75,13 @@ def test_suffix_dedup_cuts_long_documents(spark, monkeypatch):
     assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == expected(brute_bytes(rows(), 50))
 
 
+@pytest.mark.parametrize("hot", [1, 4])
+def test_suffix_dedup_cuts_hot_seeds(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    out = suffix_dedup.remove_later_copies(documents(spark), block_bytes=2000)
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == expected(brute_bytes(rows(), 50))
+
+
 def test_column_wise_order_and_common_prefixes():
     rng = np.random.default_rng(3)
     pieces = [bytes(rng.integers(97, 99, rng.integers(1, 30)).tolist()) for _ in range(60)]
