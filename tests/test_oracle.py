@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from talentlake.plans import catalog
 from conftest import SF_SMALL
 
 TABLES = ["orders", "customer", "documents"]
@@ -38,10 +39,10 @@ def _rows(pdf):
     return cols, sorted((tuple(_norm(x) for x in r) for r in pdf[cols].itertuples(index=False, name=None)), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL).toPandas()
-    odf = con.execute(E.oracle_sql()[name]).df()
+    sdf = catalog.QUERIES[name](spark, SF_SMALL).toPandas()
+    odf = con.execute(catalog.ORACLE[name]).df()
     sc, sr = _rows(sdf)
     oc, orr = _rows(odf)
     assert sc == oc
