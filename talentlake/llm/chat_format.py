@@ -160,20 +160,22 @@ def format_chats(conversations: DataFrame, chunk: int = 256) -> DataFrame:
     parts = turns(conversations, chunk)
     order = F.struct(F.col("turn").isNull().alias("last"), "turn", "role", "body")
     place = F.row_number().over(W.partitionBy("conv", "part").orderBy(order)) - 1
-    parts = written(parts.withColumn("ord", place.cast("int")))
+    # turns without a number, or very many of one number, are a part of any size: cut by their place
+    parts = parts.withColumn("ord", place.cast("long"))
+    parts = written(parts.withColumn("sub", F.floor(F.col("ord") / F.lit(4 * chunk))).withColumn("ord", (F.col("ord") % F.lit(4 * chunk)).cast("int")))
     turn_struct = F.struct("ord", "r", "empty")
-    lists = parts.groupBy("conv", "part").agg(F.sort_array(F.collect_list(turn_struct)).alias("turns"))
-    lists = lists.select("conv", "part", F.col("turns.r").alias("roles"), F.col("turns.empty").alias("empty"))
+    lists = parts.groupBy("conv", "part", "sub").agg(F.sort_array(F.collect_list(turn_struct)).alias("turns"))
+    lists = lists.select("conv", "part", "sub", F.col("turns.r").alias("roles"), F.col("turns.empty").alias("empty"))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             roles, empty = b.column("roles").to_pylist(), b.column("empty").to_pylist()
             flat = [product(r, e).ravel().tolist() for r, e in zip(roles, empty)]
             n = pa.array([len(r) for r in roles], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("conv"), b.column("part"), n, pa.array(flat, pa.list_(pa.float64()))], ["conv", "part", "n", "costs"])
+            yield pa.RecordBatch.from_arrays([b.column("conv"), b.column("part"), b.column("sub"), n, pa.array(flat, pa.list_(pa.float64()))], ["conv", "part", "sub", "n", "costs"])
 
-    costs = lists.mapInArrow(matrices, "conv long, part long, n long, costs array<double>")
-    chunks = costs.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("part", "n", "costs"))).alias("chunks"))
+    costs = lists.mapInArrow(matrices, "conv long, part long, sub long, n long, costs array<double>")
+    chunks = costs.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("part", "sub", "n", "costs"))).alias("chunks"))
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -182,14 +184,14 @@ def format_chats(conversations: DataFrame, chunk: int = 256) -> DataFrame:
                 states = ends([np.array(c["costs"]).reshape(4, 4) for c in each])
                 first = 0
                 for k, c in enumerate(each):
-                    out.append((conv, c["part"], states[k], states[k + 1], first, k + 1 == len(each)))
+                    out.append((conv, c["part"], c["sub"], states[k], states[k + 1], first, k + 1 == len(each)))
                     first += c["n"]
-            kinds = [("conv", pa.int64()), ("part", pa.int64()), ("begin", pa.int32()), ("end", pa.int32()), ("first", pa.int64()), ("final", pa.bool_())]
+            kinds = [("conv", pa.int64()), ("part", pa.int64()), ("sub", pa.int64()), ("begin", pa.int32()), ("end", pa.int32()), ("first", pa.int64()), ("final", pa.bool_())]
             cols = list(zip(*out)) or [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, (_, k) in zip(cols, kinds)], [n for n, _ in kinds])
 
-    states = chunks.mapInArrow(chain, "conv long, part long, begin int, end int, first long, final boolean")
-    both = lists.join(states, lists["conv"].eqNullSafe(states["conv"]) & (lists["part"] == states["part"])).select(lists["conv"], lists["part"], "roles", "empty", "begin", "end", "first", "final")
+    states = chunks.mapInArrow(chain, "conv long, part long, sub long, begin int, end int, first long, final boolean")
+    both = lists.join(states, lists["conv"].eqNullSafe(states["conv"]) & (lists["part"] == states["part"]) & (lists["sub"] == states["sub"])).select(lists["conv"], lists["part"], lists["sub"], "roles", "empty", "begin", "end", "first", "final")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -201,13 +203,13 @@ def format_chats(conversations: DataFrame, chunk: int = 256) -> DataFrame:
                     own = {"keep": KEEP, "relabel": RELABEL, "merge": KEEP if x["empty"][k] else MERGE if x["roles"][k] in (t, 0) else MERGE_OTHER}[action]
                     cost = own + INSERT * (len(before) + len(closing))
                     last = k + 1 == len(each) or each[k + 1][0] != "merge"
-                    out.append((x["conv"], x["part"], k, x["first"] + k, action, ROLES[t], len(before) + len(closing), cost, "".join(f"{OPEN}{ROLES[s]}\n{CLOSE}" for s in before), "".join(f"{OPEN}{ROLES[s]}\n{CLOSE}" for s in closing), last, x["final"] and k + 1 == len(each)))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.float64(), pa.string(), pa.string(), pa.bool_(), pa.bool_()]
+                    out.append((x["conv"], x["part"], x["sub"], k, x["first"] + k, action, ROLES[t], len(before) + len(closing), cost, "".join(f"{OPEN}{ROLES[s]}\n{CLOSE}" for s in before), "".join(f"{OPEN}{ROLES[s]}\n{CLOSE}" for s in closing), last, x["final"] and k + 1 == len(each)))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.float64(), pa.string(), pa.string(), pa.bool_(), pa.bool_()]
             cols = list(zip(*out)) or [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["dconv", "dpart", "dord", "seq", "action", "role_out", "n_inserted", "cost", "before", "after", "last_here", "final"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["dconv", "dpart", "dsub", "dord", "seq", "action", "role_out", "n_inserted", "cost", "before", "after", "last_here", "final"])
 
-    done = both.mapInArrow(decide, "dconv long, dpart long, dord int, seq long, action string, role_out string, n_inserted long, cost double, before string, after string, last_here boolean, final boolean")
-    x = parts.join(done, parts["conv"].eqNullSafe(done["dconv"]) & (parts["part"] == done["dpart"]) & (parts["ord"] == done["dord"]))
+    done = both.mapInArrow(decide, "dconv long, dpart long, dsub long, dord int, seq long, action string, role_out string, n_inserted long, cost double, before string, after string, last_here boolean, final boolean")
+    x = parts.join(done, parts["conv"].eqNullSafe(done["dconv"]) & (parts["part"] == done["dpart"]) & (parts["sub"] == done["dsub"]) & (parts["ord"] == done["dord"]))
     # the turn's piece opens its message unless it is merged; the next turn's piece closes it unless merged too
     opened = F.when(F.col("action") == "merge", F.lit("")).otherwise(F.concat(F.lit(OPEN), "role_out", F.lit("\n")))
     shut = F.when((F.col("action") == "merge"), F.lit("")).when(F.col("seq") > 0, F.lit(CLOSE)).otherwise(F.lit(""))
