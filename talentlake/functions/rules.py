@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from talentlake.functions.text import java_regex, python_regex_ok
+from talentlake.functions.text import contains_any, java_regex, python_regex_ok
+
+
+def leading_literals(pattern: str) -> list[str] | None:
+    """The letters that each top-level alternative of a pattern begins with, which every
+    match of it contains; None where an alternative begins otherwise."""
+    parts, depth = [""], 0
+    for c in pattern:
+        depth += (c in "([") - (c in ")]")
+        if c == "|" and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    out = []
+    for part in parts:
+        literal = re.match(r"[^\W\d_]*", part)[0]
+        if part[len(literal):len(literal) + 1] in ("?", "*", "{"):   # the last letter may be missing
+            literal = literal[:-1]
+        if not literal:
+            return None
+        out.append(literal)
+    return out
 
 
 @dataclass(frozen=True)
@@ -41,7 +63,7 @@ class RuleSet:
             return F.lit(self.default)
         expr = None
         for pattern, label in ordered:
-            cond = text.rlike(java_regex(pattern, self.ignore_case))
+            cond = self.test(text, pattern)
             expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
         return expr.otherwise(F.lit(self.default))
 
@@ -49,5 +71,12 @@ class RuleSet:
         """True when any rule matches."""
         cond = F.lit(False)
         for pattern, _ in self.rules:
-            cond = cond | text.rlike(java_regex(pattern, self.ignore_case))
+            cond = cond | self.test(text, pattern)
         return cond
+
+    def test(self, text: Column, pattern: str) -> Column:
+        """The pattern's regex, run only where a byte-level test finds one of the
+        literals that its matches begin with (case-blind rules have no such test)."""
+        found = text.rlike(java_regex(pattern, self.ignore_case))
+        literals = None if self.ignore_case else leading_literals(pattern)
+        return contains_any(text, literals) & found if literals else found

@@ -149,3 +149,12 @@ def test_month_keys(spark, text, want):
 @pytest.mark.parametrize("text,want", [('["a", "b"]', ["a", "b"]), ("a, b", ["a, b"]), (None, None), ("[]", []), ("", [""])])
 def test_languages_as_list_or_text(spark, text, want):
     assert one(spark, text, N.text_or_list) == want
+
+
+@pytest.mark.parametrize("pattern,want", [
+    (r"back[\s\-]*end\b|backend", ["back", "backend"]), (r"analyste?\s*data|bi\s*anal", ["analyst", "bi"]), (r"a?b|c", None), (r"(x|y)z", None),
+    (r"data\s*sci(entist|ence)|ml\s*(eng|x)", ["data", "ml"]), (r"réseau+|x{2}y", None), (r"ios\s+dev", ["ios"])])
+def test_leading_literals(pattern, want):
+    from talentlake.functions.rules import leading_literals
+
+    assert leading_literals(pattern) == want
