@@ -58,18 +58,20 @@ def rolling(h: np.ndarray, length: int, base: int) -> np.ndarray:
     return acc
 
 
-def by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of distinct sorted keys by shard, and where each shard begins in it."""
+def by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of distinct sorted keys by shard, and (shard, begin, end) of those that get any."""
     shard = ((keys >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    return order, np.searchsorted(shard[order], np.arange(shards + 1))
+    shard = shard[order]
+    cut = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]).tolist() if len(shard) else []
+    return order, list(zip(shard[cut].tolist(), cut, [*cut[1:], len(shard)]))
 
 
-def shard_rows(block: int, order: np.ndarray, begins: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[dict]:
+def shard_rows(block: int, order: np.ndarray, cuts: list[tuple[int, int, int]], columns: dict[str, np.ndarray]) -> Iterator[dict]:
     """A row for each shard that gets keys: the bytes of each column, in order."""
     held = {k: v[order] for k, v in columns.items()}
-    for s in np.flatnonzero(np.diff(begins)):
-        yield {"shard": int(s), "block": block} | {k: v[begins[s] : begins[s + 1]].tobytes() for k, v in held.items()}
+    for s, a, b in cuts:
+        yield {"shard": s, "block": block} | {k: v[a:b].tobytes() for k, v in held.items()}
 
 
 def answers(rows: list[tuple[int, bytes]], order: np.ndarray, kind) -> np.ndarray:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talentlake.llm.blocks import answers, as_table, by_shard, dealt, ordered
+from talentlake.llm.blocks import answers, as_table, by_shard, dealt, ordered, shard_rows
 from talentlake.llm.common import parts, prepare, text_bytes, text_size, written
 
 SUFFIXES = 512
@@ -269,10 +269,7 @@ def score(docs: DataFrame, states: int = 8, top: int = 8192, iterations: int = 2
         train = np.repeat(~table.column("carry_0").to_numpy(zero_copy_only=False).astype(bool), n)
         u, inv = np.unique(keys, return_inverse=True)
         counts = np.bincount(inv, train, len(u)).astype(np.uint32)
-        order, begins = by_shard(u, shards)
-        u, counts = u[order], counts[order]
-        cut = [(s, begins[s], begins[s + 1]) for s in np.flatnonzero(np.diff(begins)).tolist()]
-        return as_table([{"shard": s, "block": block, "keys": u[x:y].tobytes(), "counts": counts[x:y].tobytes()} for s, x, y in cut], SENT)
+        return as_table(list(shard_rows(block, *by_shard(u, shards), {"keys": u, "counts": counts})), SENT)
 
     whole = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("answer", pa.binary()), ("n", pa.int64()), ("v", pa.int64()), ("mass", pa.list_(pa.int64())), ("top", pa.list_(pa.int64())), ("top_n", pa.list_(pa.int64()))])
     sent = rows.groupBy("block").applyInArrow(send, "shard int, block int, keys binary, counts binary")

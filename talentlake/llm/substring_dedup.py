@@ -98,7 +98,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, period: int = 21, block_by
         """Starts of the windows round a repeated anchor, and their hashes."""
         p, keys = w.anchors(length, period, cover)
         u, _, inv, n = distinct(keys)
-        order, begins = by_shard(u, shards)
+        order, cuts = by_shard(u, shards)
         dup = (anchored(order) | (n > 1))[inv]
         return w.around(p[dup], window, period)
 
@@ -107,9 +107,9 @@ def remove_repeats(docs: DataFrame, window: int = 35, period: int = 21, block_by
         w = Words(ordered(table).column("text").to_pylist())
         _, keys = w.anchors(length, period, cover)
         u = np.unique(keys)
-        order, begins = by_shard(u, shards)
+        order, cuts = by_shard(u, shards)
         # beside the shard, 32 bits do: a chance meeting only adds windows that are then compared in full
-        return as_table(list(shard_rows(block, order, begins, {"low": u.astype(np.uint32)})), SENT)
+        return as_table(list(shard_rows(block, order, cuts, {"low": u.astype(np.uint32)})), SENT)
 
     def ask_windows(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
@@ -120,8 +120,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, period: int = 21, block_by
         starts = candidates(w, lambda order: answers(replies, order, np.uint8).astype(bool))
         low, high = w.windows(starts, window)
         u, first, _, _ = distinct(low)
-        order, begins = by_shard(u, shards)
-        out = list(shard_rows(block, order, begins, {"low": u, "high": high[first].astype(np.uint32)}))
+        order, cuts = by_shard(u, shards)
+        out = list(shard_rows(block, order, cuts, {"low": u, "high": high[first].astype(np.uint32)}))
         bits = np.zeros(len(w.h), bool)
         bits[starts] = True
         # which windows were asked about comes back to the block through a shard of its own

@@ -18,6 +18,8 @@ How whole documents come to such pieces, without a task that sees them all:
 3. Pieces of repeated seeds meet in the shard of the seed, each distinct piece once
    for a block with its least doc_id. There the transform is built, and windows
    with a common prefix of ``span`` bytes get the least doc_id of their run.
+   The pieces of a seed that occurs very often are cut into single windows, dealt by
+   their own hashes, so that no seed fills a shard.
 4. A window goes where that is less than its own document's.
 
 The method's external files are arrays here: a run's pieces are bounded, and files
@@ -35,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
@@ -44,9 +47,11 @@ from talentlake.llm.common import parts, prepare, text_size
 BASE = 0x9E3779B97F4A7C15
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 SLICE = 1 << 17  # bytes hashed at once; fits the cache
-RUN = 1 << 20  # symbols of a run of the construction, more only for one seed's pieces
+RUN = 1 << 17  # symbols of a run of the construction (fits the cache), more only for one seed's pieces
+HOT = 1 << 14  # occurrences from which a seed's pieces are cut into windows
 END = 0xFF  # not a byte of UTF-8
-ASK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("low", pa.binary())])
+ASK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("low", pa.binary()), ("often", pa.binary())])
+ASK_SQL = "shard int, block int, low binary, often binary"
 PIECES = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("at", pa.binary()), ("size", pa.binary()), ("least", pa.binary()), ("bytes", pa.binary())])
 PIECES_SQL = "shard int, block int, at binary, size binary, least binary, bytes binary"
 REPLY_SQL = "block int, shard int, answer binary"
@@ -111,19 +116,31 @@ class Pieces:
         kinds = (np.int64, np.int64, np.int64, np.int64, np.uint64)
         self.doc, self.first, self.count, self.at, self.key = (np.concatenate([p[k] for p in parts_]) if parts_ else np.zeros(0, kind) for k, kind in enumerate(kinds))
 
-    def collapsed(self, chosen: np.ndarray, texts: list[bytes], ids: np.ndarray, span: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pieces of the chosen ones: index of each chosen into them, their
-        bytes, seed distances, seed hashes and least ids. A piece is told by its
-        bytes and its seed's place."""
+    def take(self, chosen: np.ndarray, hot: np.ndarray, texts: list[bytes], span: int) -> None:
+        """Keeps the chosen pieces, those of hot seeds as single windows dealt by their own hash."""
+        hot = hot[chosen]
+        times = np.where(hot, self.count[chosen], 1)
+        k = np.repeat(chosen, times)
+        shift = np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times)
+        single = np.repeat(hot, times)
+        self.doc, self.first, self.at, self.key = self.doc[k], self.first[k] + shift, self.at[k] - shift, self.key[k]
+        self.count = np.where(single, 1, self.count[k])
+        for i in np.flatnonzero(single).tolist():
+            a = self.first[i]
+            self.key[i] = xxhash.xxh3_64_intdigest(texts[self.doc[i]][a : a + span])
+
+    def collapsed(self, texts: list[bytes], ids: np.ndarray, span: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct pieces: index of each into them, their bytes, seed distances, hashes
+        and least ids. A piece is told by its bytes and its seed's place."""
         seen: dict[tuple[bytes, int], int] = {}
-        which = np.empty(len(chosen), np.int64)
+        which = np.empty(len(self.doc), np.int64)
         put = seen.setdefault
-        for k, (d, a, c, at) in enumerate(zip(self.doc[chosen].tolist(), self.first[chosen].tolist(), self.count[chosen].tolist(), self.at[chosen].tolist())):
+        for k, (d, a, c, at) in enumerate(zip(self.doc.tolist(), self.first.tolist(), self.count.tolist(), self.at.tolist())):
             which[k] = put((texts[d][a : a + c + span - 1], at), len(seen))
         least = np.full(len(seen), LAST)
-        np.minimum.at(least, which, ids[self.doc[chosen]])
+        np.minimum.at(least, which, ids[self.doc])
         key = np.zeros(len(seen), np.uint64)
-        key[which] = self.key[chosen]
+        key[which] = self.key
         return which, [x[0] for x in seen], np.array([x[1] for x in seen], np.uint8), key, least
 
 
@@ -152,18 +169,26 @@ def column_wise(pieces: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray
     ends = np.cumsum(n + 1)
     suffix = ends.astype(np.int32)  # round 0: the empty suffix of each piece
     common = np.zeros(len(pieces), np.uint8)
-    closed = suffix.copy()
+    fresh = np.ones(len(pieces), bool)  # what the last round put in
+    m, closed = len(pieces), suffix
     for _ in range(int(n.max(initial=0))):
         before = text[suffix - 1]  # the transform so far
         order = np.argsort(before, kind="stable")
-        order = order[: np.searchsorted(before[order], END)]
-        symbol = before[order]
-        longer = np.zeros(len(order), np.uint8)
-        same = np.flatnonzero(symbol[1:] == symbol[:-1]) + 1
-        if len(same):
-            longer[same] = np.minimum(least_in_ranges(common, order[same - 1] + 1, order[same] + 1), depth - 1) + 1
+        order = order[: len(order) - np.count_nonzero(before == END)]
+        put = np.concatenate([np.zeros(m, bool), fresh[order]])
+        grown = np.zeros(len(put), np.uint8)
+        grown[~put] = common  # what was there keeps its order and, but for new neighbours, its common prefix
+        # new suffixes and those that follow one
+        at = np.flatnonzero(put[1:] | put[:-1]) + 1
+        at = at[at > m] - m
+        here, last = order[at], order[at - 1]
+        same = before[here] == before[last]
+        grown[m + at] = 0
+        here, last = here[same], last[same]
+        if len(here):
+            grown[m + at[same]] = np.minimum(least_in_ranges(common, last + 1, here + 1), depth - 1) + 1
         suffix = np.concatenate([closed, suffix[order] - 1])
-        common = np.concatenate([np.zeros(len(pieces), np.uint8), longer])
+        common, fresh = grown, put
     return suffix, common, ends - n
 
 
@@ -183,6 +208,38 @@ def window_owners(pieces: list[bytes], least: np.ndarray, span: int) -> list[np.
     return np.split(flat, base[1:])
 
 
+def seeds_met(table: pa.Table, hot: int) -> pa.Table:
+    """Shard function: for each seed of each block 1 if another block has it too, 2 if it
+    occurs ``hot`` times or more by the blocks' counts (each within a factor of two)."""
+    out = met_elsewhere({"low": np.uint32})(table)
+    low = [np.frombuffer(b, np.uint32) for b in table.column("low").to_pylist()]
+    often = np.concatenate([np.frombuffer(b, np.uint8) for b in table.column("often").to_pylist()])
+    u, inv = np.unique(np.concatenate(low), return_inverse=True)
+    many = (np.bincount(inv, 2.0**often, len(u)) >= hot)[inv]
+    met = np.concatenate([np.frombuffer(b, np.uint8) for b in out.column("answer").to_pylist()])
+    answer = np.where(many, 2, met).astype(np.uint8)
+    ends = np.cumsum([0, *map(len, low)])
+    return out.set_column(2, "answer", pa.array([answer[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()))
+
+
+def related(members: list[int], pieces: list[tuple[bytes, int]], span: int, seed: int) -> list[int]:
+    """Pieces that may share a window with another of the same seed: a window reaches at
+    least half of what it has beside the seed to one side, so they agree there."""
+    half = (span - seed + 1) // 2
+    met: dict[tuple[bool, bytes], int] = {}
+    twice = set()
+    for k in members:
+        data, at = pieces[k]
+        sides = [(True, data[at : at + seed + half])] if len(data) >= at + seed + half else []
+        if at >= half:
+            sides.append((False, data[at - half : at + seed]))
+        for side in sides:
+            if (other := met.setdefault(side, k)) != k:
+                twice.add(other)
+                twice.add(k)
+    return [k for k in members if k in twice]
+
+
 def settle(table: pa.Table, span: int, seed: int) -> pa.Table:
     """Shard function: for each piece of each block a bit for each window that some
     document with a smaller id than the block's least for the piece holds too."""
@@ -203,7 +260,8 @@ def settle(table: pa.Table, span: int, seed: int) -> pa.Table:
                 ids[k] = low
             row.append(k)
         entries.append((np.array(row, np.int64), np.frombuffer(least, np.int64)))
-    texts, ids = [p[0] for p in pieces], np.array(ids, np.int64)
+    pieces_at = list(pieces)
+    texts, ids = [p[0] for p in pieces_at], np.array(ids, np.int64)
     shared = np.zeros(len(texts), np.uint32)  # windows that a smaller id holds in another piece
     run: list[int] = []
 
@@ -214,6 +272,9 @@ def settle(table: pa.Table, span: int, seed: int) -> pa.Table:
 
     size = 0
     for members in groups.values():
+        # pieces of one window are unlike each other; only longer ones share windows
+        several = len(members) > 1 and any(len(texts[k]) > span for k in members)
+        members = related(members, pieces_at, span, seed) if several else []
         if len(members) > 1:
             more = sum(len(texts[k]) for k in members)
             if run and size + more > RUN:
@@ -238,7 +299,7 @@ def remove_later_copies(docs: DataFrame, span: int = 50, seed: int = 20, block_b
     _, total = text_size(docs)
     blocks, shards = parts(total, block_bytes), parts(total, 2 * block_bytes)
     rows = dealt(docs, blocks, carry)
-    carried = rows.schema.fields[4:]
+    carried, hot_from = rows.schema.fields[4:], HOT
 
     carry_names, carried_names = list(carry or {}), [f.name for f in carried]
 
@@ -250,34 +311,28 @@ def remove_later_copies(docs: DataFrame, span: int = 50, seed: int = 20, block_b
 
     def ask_seeds(table: pa.Table) -> pa.Table:
         _, _, p = load(table)
-        u = np.unique(p.key)
-        order, begins = by_shard(u, shards)
+        u, n = np.unique(p.key, return_counts=True)
+        order, cuts = by_shard(u, shards)
         # beside the shard, 32 bits do: a chance meeting only adds pieces that are then compared
-        return as_table(list(shard_rows(table.column("block")[0].as_py(), order, begins, {"low": u.astype(np.uint32)})), ASK)
-
-    def chosen_by(p: Pieces, replies: list[tuple[int, bytes]]) -> np.ndarray:
-        u, inv, n = np.unique(p.key, return_inverse=True, return_counts=True)
-        order, _ = by_shard(u, shards)
-        return np.flatnonzero((answers(replies, order, np.uint8).astype(bool) | (n > 1))[inv])
-
-    def piece_order(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return by_shard(key, shards)
+        columns = {"low": u.astype(np.uint32), "often": np.log2(n).astype(np.uint8)}
+        return as_table(list(shard_rows(table.column("block")[0].as_py(), order, cuts, columns)), ASK)
 
     def ask_pieces(left: pa.Table, right: pa.Table) -> pa.Table:
         texts, ids, p = load(left)
         block = left.column("block")[0].as_py()
-        chosen = chosen_by(p, list(zip(right.column("shard").to_pylist(), right.column("answer").to_pylist())))
-        _, held, at, key, least = p.collapsed(chosen, texts, ids, span)
-        order, begins = piece_order(key)
+        u, inv, n = np.unique(p.key, return_inverse=True, return_counts=True)
+        reply = answers(list(zip(right.column("shard").to_pylist(), right.column("answer").to_pylist())), by_shard(u, shards)[0], np.uint8)
+        twice, hot = ((reply > 0) | (n > 1))[inv], (reply > 1)[inv]
+        p.take(np.flatnonzero(twice), hot, texts, span)
+        _, held, at, key, least = p.collapsed(texts, ids, span)
+        order, cuts = by_shard(key, shards)
         out = []
-        for s in np.flatnonzero(np.diff(begins)):
-            k = order[begins[s] : begins[s + 1]]
+        for s, a, b in cuts:
+            k = order[a:b]
             data = [held[x] for x in k.tolist()]
-            out.append({"shard": int(s), "block": block, "at": at[k].tobytes(), "size": bytes(map(len, data)), "least": least[k].tobytes(), "bytes": b"".join(data)})
-        bits = np.zeros(len(p.key), bool)
-        bits[chosen] = True
-        # which pieces were asked about comes back to the block through a shard of its own
-        out.append({"shard": shards + block, "block": block, "bytes": np.packbits(bits).tobytes()})
+            out.append({"shard": s, "block": block, "at": at[k].tobytes(), "size": bytes(map(len, data)), "least": least[k].tobytes(), "bytes": b"".join(data)})
+        # which pieces were asked about, and how, comes back to the block through a shard of its own
+        out.append({"shard": shards + block, "block": block, "bytes": np.packbits(np.r_[twice, hot]).tobytes()})
         return as_table(out, PIECES)
 
     def settle_shard(table: pa.Table) -> pa.Table:
@@ -294,16 +349,18 @@ def remove_later_copies(docs: DataFrame, span: int = 50, seed: int = 20, block_b
         replies = dict(zip(right.column("shard").to_pylist(), right.column("answer").to_pylist()))
         block = left.column("block")[0].as_py()
         asked = replies.pop(shards + block)
-        chosen = np.flatnonzero(np.unpackbits(np.frombuffer(asked, np.uint8), count=len(p.key))) if len(p.key) else np.zeros(0, np.int64)
-        which, held, _, key, least = p.collapsed(chosen, texts, ids, span)
-        order, _ = piece_order(key)
+        bits = np.unpackbits(np.frombuffer(asked, np.uint8), count=2 * len(p.key)).astype(bool)
+        twice, hot = bits[: len(p.key)], bits[len(p.key) :]
+        p.take(np.flatnonzero(twice), hot, texts, span)
+        which, held, _, key, least = p.collapsed(texts, ids, span)
+        order, _ = by_shard(key, shards)
         own = answers(list(replies.items()), order, np.uint32)
         every = np.array([(1 << (len(t) - span + 1)) - 1 for t in held], np.uint32)
-        bits = np.where(ids[p.doc[chosen]] > least[which], every[which], own[which]) if len(chosen) else np.zeros(0, np.uint32)
+        bits = np.where(ids[p.doc] > least[which], every[which], own[which]) if len(held) else np.zeros(0, np.uint32)
         # gone windows as document and start
         hit = ((bits[:, None] >> np.arange(32, dtype=np.uint32)) & 1).astype(bool)
         row, shift = np.nonzero(hit)
-        doc, start = p.doc[chosen][row], p.first[chosen][row] + shift
+        doc, start = p.doc[row], p.first[row] + shift
         order = np.lexsort((start, doc))
         doc, start = doc[order], start[order]
         bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -321,7 +378,7 @@ def remove_later_copies(docs: DataFrame, span: int = 50, seed: int = 20, block_b
             made = made.append_column(name, ordered(left).column(f))
         return made
 
-    seeds = rows.groupBy("block").applyInArrow(ask_seeds, "shard int, block int, low binary").groupBy("shard").applyInArrow(met_elsewhere({"low": np.uint32}), REPLY_SQL)
+    seeds = rows.groupBy("block").applyInArrow(ask_seeds, ASK_SQL).groupBy("shard").applyInArrow(lambda t: seeds_met(t, hot_from), REPLY_SQL)
     pieces = rows.groupBy("block").cogroup(seeds.groupBy("block")).applyInArrow(ask_pieces, PIECES_SQL)
     settled = pieces.groupBy("shard").applyInArrow(settle_shard, REPLY_SQL)
     return rows.groupBy("block").cogroup(settled.groupBy("block")).applyInArrow(judge, schema)
