@@ -129,6 +129,15 @@ def test_simhash(spark, distance):
     assert got(out, "doc_id", "fingerprint", "component_id") == expected(brute_components(rows(), distance))
 
 
+def test_simhash_with_few_wide_partitions(spark, monkeypatch):
+    """Probes at no cost: the plan takes wide partitions with larger thresholds."""
+    monkeypatch.setattr(simhash, "PROBE", 1e-9)
+    prints = simhash.fingerprints(documents(spark)).groupBy("fp").count()
+    assert max(t for _, t, _ in simhash.plan(prints, 4)) >= 1
+    out = simhash.near_duplicates(documents(spark), 4, 4)
+    assert got(out, "doc_id", "fingerprint", "component_id") == expected(brute_components(rows(), 4))
+
+
 def test_simhash_dense_groups(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 50)
     out = simhash.near_duplicates(documents(spark), 4, 6)
