@@ -62,12 +62,13 @@ class LakePaths:
 
 
 def run_bronze(raw: DataFrame, paths: LakePaths, source_file: str = "") -> None:
-    """Land the raw listings, then write the report and the partitions' metadata
-    from what was landed (the input is evaluated once)."""
+    """Land the raw listings, then write the partitions' metadata from what was
+    landed, and the report from the metadata: the input is evaluated once, and
+    what was landed is read once."""
+    spark = raw.sparkSession
     B.write_bronze(raw, paths.bronze, source_file)
-    landed = B.read_bronze(raw.sparkSession, paths.bronze)
-    export_json(B.ingestion_report(landed), paths.ingestion_report)
-    export_json(B.partition_metadata(landed), paths.bronze_metadata)
+    export_json(B.partition_metadata(B.read_bronze(spark, paths.bronze)), paths.bronze_metadata)
+    export_json(B.ingestion_report(B.read_metadata(spark, paths.bronze_metadata)), paths.ingestion_report)
 
 
 def run_silver(spark: SparkSession, paths: LakePaths, dictionary: Dictionary | None = None,

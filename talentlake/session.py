@@ -37,6 +37,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
         builder = builder.config("spark.driver.memory", "8g")   # local mode: the driver JVM runs every task
     for k, v in CLUSTER_DEFAULTS.items():
         builder = builder.config(k, v)
+    if master.startswith("local"):
+        # tables of one machine: partitions small enough that every core writes
+        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():

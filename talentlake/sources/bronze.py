@@ -156,13 +156,19 @@ def partition_metadata(landed: DataFrame) -> DataFrame:
              "source_fichier", "date_ingestion", "schema_version")
 
 
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """Partition metadata as ``export_json`` wrote it."""
+    return spark.read.schema("partition string, source_key string, month_key string, nb_offres long, source_fichier string, date_ingestion string, schema_version string").json(path)
+
+
 def ingestion_report(keyed: DataFrame) -> DataFrame:
     """Listings and partition files per (source, month), per source, per month and
     in total (S5); ``niveau`` names the level. Where the input has an ingestion
     time, the latest is given. Rows are counted once per partition; the levels
-    sum those counts."""
+    sum those counts. keyed: listings with their keys, or partition metadata, whose
+    counts (``nb_offres``) are then taken."""
     times = [F.max("date_ingestion").alias("date_ingestion")] if "date_ingestion" in keyed.columns else []
-    each = keyed.groupBy("source_key", "month_key").agg(F.count(F.lit(1)).alias("n"), *times)
+    each = keyed.groupBy("source_key", "month_key").agg((F.sum("nb_offres") if "nb_offres" in keyed.columns else F.count(F.lit(1))).alias("n"), *times)
     g = each.groupingSets(
         [["source_key", "month_key"], ["source_key"], ["month_key"], []], "source_key", "month_key"
     ).agg(
