@@ -12,6 +12,9 @@ from talentlake.llm import chat_format, decontamination, hmm, mixing, oracle, qu
 # Fixed values of the contract: host, path, verdict.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
+# Fixed by the query's SQL, which has no other patterns; judge() by itself takes all of url_rules.PATTERNS.
+HOST_WORDS = [("contract", rf"^([^/]*[.-])?{w}[.-]") for w in ("spam", "casino", "porn", "malware")]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -50,7 +53,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_rules.judge(table(spark, sf_dir, "pages"), RULES)
+    return url_rules.judge(table(spark, sf_dir, "pages"), RULES, HOST_WORDS)
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,6 +145,23 @@ def test_rules_file_under_tokens_that_urls_have_whole():
     assert url_rules.literal_tokens("org", "/") == ["org"] and url_rules.literal_tokens("", "/a") == [url_rules.ANY]
 
 
+def test_patterns_file_under_literal_tokens_of_their_own(spark):
+    of = url_rules.pattern_tokens
+    assert of(r"^([^/]*[.-])?spam[.-]") == ["spam"] and of(r"(?<![^./-])free[.-]bets(?![^./-])") == ["bets", "free"]
+    assert of(r"/(?:ads|x)/click/track") == ["click"] and of(r"^a(b)c\.x?d/") == ["abc"] and of(r"-(ab)?c-") == of(r"-ab$") == of(r"(?i)-ab-") == of(r"-a|b-") == of(r"-(ab)+-") == [url_rules.ANY]
+    assert all(url_rules.ANY not in of(r) for _, r in url_rules.PATTERNS) and sum(len(of(r)) > 1 for _, r in url_rules.PATTERNS) > 30
+    assert {k for k, _ in url_rules.PATTERNS} >= {"gambling", "pharma", "adult", "ads", "malware"}
+    words = [w for ws in url_rules.WORDS.values() for w in ws]
+    shapes = ["http://{}.example.net/1", "http://m.{}.example.net", "https://www.a-{}-b.org/x.html", "http://a{}.net/", "http://{}s.net/", "http://a.net/x/{}", "http://a.net/x/{}/1", "http://a.net/{}.html", "http://a.net/x{}/", "http://{}", "http://a.net/?q={}", "http://a.net/{}\n"]
+    urls = [f.format(v) for w in words for v in (w, w.replace("-", "."), w.replace("-", "/"), w.replace("-", "")) for f in shapes]
+    urls += [f"http://{h}.example.com/en/1" for h in ("adult-x", "m.free-bets", "ads-track", "www.cheap-pills", "casino-win", "spam-farm", "thread", "betsy-free")]
+    extra = [*url_rules.PATTERNS, ("any", r"x/[a-m]+s/"), ("any", r"(?:ads|click)[.-]track")]
+    want = ["block" if any(re.search(r, "".join(brute_url(u)[:2]), re.S) for _, r in extra) else "allow" for u in urls]
+    out = url_rules.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), [], extra)
+    assert [r["verdict"] for r in out.orderBy("page_id").collect()] == want
+    assert want[-8:] == ["block"] * 6 + ["allow"] * 2 and want.count("allow") > 100
+
+
 LEGAL = re.compile(r"(S\n[^|]*\|)?(U\n[^|]*\|A\n[^|]*\|)+")
 
 
