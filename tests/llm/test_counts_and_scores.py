@@ -185,3 +185,13 @@ def test_quality_rejects_odd_texts(spark):
     odd = [(1000 + i, " ".join(f"{a * 7919 % 997}|{a}" for a in range(i, i + 80)), "en", "s", 1, "r", 1, "f", "s", "k", "q") for i in range(3)]
     kept = {r["doc_id"] for r in quality.judged(documents(spark, good + odd)).where("kept").collect()}
     assert kept == set(range(200))
+
+
+def test_quality_keeps_a_rare_clean_language(spark):
+    row = lambda i, t, lang: (i, t, lang, "s", 1, "r", 1, "f", "s", "k", "q")
+    much = [row(i, prose(i, 80), "en") for i in range(200)]
+    rare = [row(1000 + i, prose(1000 + i, 80, "ghijklmnopqrstuvwxyz"), "xx") for i in range(12)] + [row(2000, prose(2000, 80, "привет"), "yy"), row(2001, "too short", "zz")]
+    odd = row(3000, " ".join(f"{a * 7919 % 997}|{a}" for a in range(80)), "xx")
+    out = {r["doc_id"]: r for r in quality.judged(documents(spark, [*much, *rare, odd])).collect()}
+    assert {i for i, r in out.items() if r["kept"]} == {*range(200), *range(1000, 1012), 2000}
+    assert out[2001]["upper"] is None and out[1000]["lower"] < out[1000]["perplexity"] < out[1000]["upper"]
