@@ -195,3 +195,12 @@ def test_quality_keeps_a_rare_clean_language(spark):
     out = {r["doc_id"]: r for r in quality.judged(documents(spark, [*much, *rare, odd])).collect()}
     assert {i for i, r in out.items() if r["kept"]} == {*range(200), *range(1000, 1012), 2000}
     assert out[2001]["upper"] is None and out[1000]["lower"] < out[1000]["perplexity"] < out[1000]["upper"]
+
+
+def test_second_count_is_over_all_documents(spark):
+    main, side, alone = ["abc abd abe", "abc abf"], ["xyz xyw"], ["#%&"]
+    docs = spark.createDataFrame([(t, 0.0, 0.01) for t in main] + [(t, -9.0, 0.5) for t in side] + [(t, None, None) for t in alone], "text string, center double, scale double")
+    model = quality.kneser_ney(quality.counted(docs.select("text")))
+    all_codes = {r["code"] for r in quality.counted(docs.select("text")).collect()}
+    second = {r["code"]: r["n"] for r in quality.counted(docs, model, 2.5).collect()}
+    assert set(second) == all_codes and min(second.values()) > 0 and max(second.values()) <= 3
