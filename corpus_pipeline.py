@@ -25,11 +25,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each component the document with the smallest id stays
-    (rows that repeat that id stay with it)."""
-    found = simhash.near_duplicates(docs, shingle=4, distance=4)
-    gone = found.where("doc_id > component_id").select(F.col("doc_id").alias(KEY)).distinct()
-    return docs.join(gone, docs["doc_id"] == gone[KEY], "left_anti")
+    """SimHash near-dedup: of each component the rows with the smallest id stay. Each row
+    goes by its own text, whatever other rows have its id; rows without an id stay."""
+    found = simhash.near_duplicates(docs, shingle=4, distance=4, keyed=True)
+    gone = found.where("doc_id > component_id").select(F.col("rid").alias(KEY), F.col("doc_id").alias("__id")).distinct()
+    x = docs.withColumn(KEY, row_key())
+    return x.join(gone, (x[KEY] == gone[KEY]) & (x["doc_id"] == gone["__id"]), "left_anti").select(docs.columns)
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

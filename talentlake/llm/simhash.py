@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talentlake.llm.common import prepare, text_bytes, written
+from talentlake.llm.common import prepare, row_key, text_bytes, written
 from talentlake.llm.components import components
 
 BITS = 64
@@ -72,8 +72,8 @@ def majorities(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) of every row, fp a long with the fingerprint's bits."""
+def fingerprints(docs: DataFrame, shingle: int = 4, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp) of every row, fp a long with the fingerprint's bits; keyed: with its row key ``rid``."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,9 +96,11 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
                     flush()
                     held = 0
             flush()
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.concatenate(out).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(np.concatenate(out).view(np.int64))], [*names, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).mapInArrow(run, "doc_id long, fp long")
+    names = ["doc_id", "rid"] if keyed else ["doc_id"]
+    x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("rid"), text_bytes().alias("text"))
+    return x.select(*names, "text").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -291,13 +293,13 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, keyed: bool = False) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; component_id: the smallest
-    doc_id that links lead to."""
-    prints = written(fingerprints(docs, shingle))
+    doc_id that links lead to. keyed: with its row key ``rid``, the last."""
+    prints = written(fingerprints(docs, shingle, keyed))
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct, distance))
     grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = grouped.join(ids, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *(["rid"] if keyed else []))

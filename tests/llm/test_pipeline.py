@@ -50,6 +50,15 @@ def test_stage_decisions(spark, tmp_path):
     assert run(4).agg({"taken": "sum"}).first()[0] is not None
 
 
+def test_near_duplicates_go_by_row(spark, tmp_path):
+    """A unique text stays where another row of its id has a near copy."""
+    row = lambda i, t: (i, t, "en", "a", 1, "r", 1, "f", "s", "k", "q")
+    copy, alone = prose(1, 70), prose(2, 70)
+    data = [row(1, copy), row(5, copy), row(5, alone), row(7, prose(3, 70)), row(None, prose(4, 70))]
+    out = corpus_pipeline.near_duplicates(spark, documents(spark, data), str(tmp_path))
+    assert sorted(map(str, out.collect())) == sorted(map(str, documents(spark, [data[0], *data[2:]]).collect()))
+
+
 def test_clean_documents_stay(spark, tmp_path):
     docs = documents(spark, [(i, prose(i, 60), "en", f"s{i % 3}", 1, "r", 1, "f", "s", "k", "q") for i in range(150)])
     spark.createDataFrame([(1, prose(9999, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
