@@ -56,4 +56,14 @@ SELECT c.page_id, c.host, c.path, f.rule,
 FROM c LEFT JOIN f USING (page_id)
 """
 
-ORACLE = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op7_suffix_dedup": OP7, "op9_url_filters": OP9}
+OP11 = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+           FROM r a, r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+     p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 100 * s.score BETWEEN 30 * positive_score AND 90 * positive_score QUALIFY rank <= 10
+"""
+
+ORACLE = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op7_suffix_dedup": OP7, "op9_url_filters": OP9, "op11_hard_negatives": OP11}

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from talentlake.llm import chat_format, decontamination, hmm, mixing, oracle, quality, simhash, substring_dedup, suffix_dedup, token_counts, url_rules
+from talentlake.llm import chat_format, decontamination, hard_negatives, hmm, mixing, oracle, quality, simhash, substring_dedup, suffix_dedup, token_counts, url_rules
 
 # Fixed values of the contract: host, path, verdict.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -60,6 +61,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_chats(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontamination, op4_simhash_dedup, op5_hmm_score, op6_mixing, op7_suffix_dedup, op8_quality_rules, op9_url_filters, op10_chat_format)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label), F.col("vec_id") % 100 == 0)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontamination, op4_simhash_dedup, op5_hmm_score, op6_mixing, op7_suffix_dedup, op8_quality_rules, op9_url_filters, op10_chat_format, op11_hard_negatives)}
 
 ORACLE: dict[str, str] = dict(oracle.ORACLE)
