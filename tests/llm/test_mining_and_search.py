@@ -1,14 +1,17 @@
 """Hard negatives, ranked search and language ID against brute force."""
 
 import random
+import re
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edge import expected, got
-from talentlake.llm import hard_negatives
+from conftest import SF_CHECK
+from edge import documents, empty, expected, got, prose, rows
+from talentlake.llm import hard_negatives, language_id, queries
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType()),
                         # names that the operator uses inside
@@ -80,3 +83,58 @@ def test_threshold_stops_early():
     (at, s), (inside, t) = lists.firsts(q, [(None, None), (1000, 1500)], 1)
     assert at.tolist() == [1234] and s.tolist() == [2400] and len(inside) == 0
     assert lists.scored < 200
+
+
+def brute_languages(data, folds=3, held=1, ridge=1e-4):
+    """Kernel ridge regression over sets of strings; every distinct text that is learned from is a landmark."""
+    def grams(t):
+        c = re.sub(" +", " ", " " + "".join(x.lower()[0] if x.isalpha() else " " for x in t or "") + " ")
+        return {c[i : i + n] for n in (1, 2, 3) for i in range(len(c) - n + 1)} - {" "} if c.strip() else set()
+
+    kernel = lambda a, b: np.array([[len(x & y) / np.sqrt(len(x) * len(y)) for y in b] for x in a])
+    part = lambda i: zlib.crc32(str("" if i is None else i).encode()) % folds
+    learn = [(i, t, lang) for i, t, lang in data if part(i) != held and lang is not None and grams(t)]
+    languages = sorted({lang for _, _, lang in learn})
+    marks = [grams(t) for t in {t: 0 for _, t, _ in learn}]
+    x, own = kernel([grams(t) for _, t, _ in learn], marks), kernel(marks, marks)
+    y = np.array([[float(lang == a) for a in languages] for _, _, lang in learn])
+    weights = np.linalg.lstsq(x.T @ x + ridge * len(learn) * own, x.T @ y, rcond=1e-10)[0]
+    for i, t, _ in data:
+        s = (kernel([grams(t)], marks) @ weights)[0] if grams(t) else None
+        yield i, part(i) == held, "und" if s is None else languages[int(s.argmax())], 0.0 if s is None else min(1.0, max(0.0, s.max()))
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 7])
+def test_language_id(spark, monkeypatch, piece):
+    monkeypatch.setattr(language_id, "PIECE", piece)
+    data = [(i, t, lang) for i, t, lang, *_ in rows()] + [(500 + i, prose(i, 20, "xyzéñ"), "xx") for i in range(30)] + [(600, "\u4e2d\u6587", None)]
+    out = {}
+    for r in language_id.identify(documents(spark, [(*x, "s", 1, "r", 1, "f", "s", "k", "q") for x in data]), count=10_000).collect():
+        out.setdefault(r["doc_id"], []).append((r["held_out"], r["lang_pred"], r["score"]))
+    want = {}
+    for i, h, lang, s in brute_languages(data):
+        want.setdefault(i, []).append((h, lang, s))
+    for i, some in want.items():
+        for (h, lang, s), (h2, lang2, s2) in zip(sorted(some), sorted(out[i]), strict=True):
+            assert h == h2 and abs(s - s2) < 2e-3 and (lang == lang2 or abs(s - 0.5) < 0.1)
+    assert {x[1:] for x in out[0]} == {("und", 0.0)} and out[600][0][2] == 0.0
+
+
+def test_language_id_learns_nothing_from_held_out_rows(spark):
+    """The prediction takes neither lang, source nor id; without labelled rows it is und."""
+    data = [(i, prose(i, 30, "abc" if i % 2 else "xyz"), "one" if i % 2 else "two") for i in range(60)]
+    row = lambda i, t, lang, s="s": (i, t, lang, s, 1, "r", 1, "f", "s", "k", "q")
+    held = {i for i, _, _ in data if zlib.crc32(str(i).encode()) % 3 == 1}
+    run = lambda d: {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(documents(spark, d)).collect()}
+    plain = run([row(*x) for x in data])
+    assert plain == run([row(i, t, "wrong" if i in held else lang, "other") for i, t, lang in data])
+    assert all(plain[i][0] == lang for i, _, lang in data)
+    assert set(run([row(i, t, None) for i, t, _ in data]).values()) == {("und", 0.0)}
+    assert language_id.identify(empty(spark)).count() == 0
+
+
+def test_language_id_held_out_accuracy(spark):
+    out = queries.op13_language_id(spark, SF_CHECK).withColumnRenamed("doc_id", "id")
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").join(out, F.col("doc_id") == F.col("id"))
+    right, n = docs.where("held_out and lang_pred <> 'und'").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
+    assert n > 200 and right > 0.95
