@@ -66,4 +66,17 @@ SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, p
 FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 100 * s.score BETWEEN 30 * positive_score AND 90 * positive_score QUALIFY rank <= 10
 """
 
-ORACLE = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op7_suffix_dedup": OP7, "op9_url_filters": OP9, "op11_hard_negatives": OP11}
+OP12 = rf"""
+WITH word AS (SELECT '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS re),
+     d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), re) AS w FROM documents, word),
+     z AS (SELECT count(*) FILTER (len(w) > 0) AS n, sum(len(w)) AS l FROM d),
+     t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+     f AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, z GROUP BY term),
+     m AS (SELECT doc_id, 100 - 75 + CAST((75 * len(w) * n) // l AS BIGINT) AS m FROM d, z WHERE len(w) > 0),
+     b AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), re)) AS term FROM benchmark, word),
+     s AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+           FROM b JOIN f USING (term) JOIN t USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+ORACLE = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op7_suffix_dedup": OP7, "op9_url_filters": OP9, "op11_hard_negatives": OP11, "op12_ranked_search": OP12}

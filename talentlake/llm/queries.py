@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentlake.llm import chat_format, decontamination, hard_negatives, hmm, language_id, mixing, oracle, quality, simhash, substring_dedup, suffix_dedup, token_counts, url_rules
+from talentlake.llm import chat_format, decontamination, hard_negatives, hmm, language_id, mixing, oracle, quality, ranked_search, simhash, substring_dedup, suffix_dedup, token_counts, url_rules
 
 # Fixed values of the contract: host, path, verdict.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -66,10 +66,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label), F.col("vec_id") % 100 == 0)
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontamination, op4_simhash_dedup, op5_hmm_score, op6_mixing, op7_suffix_dedup, op8_quality_rules, op9_url_filters, op10_chat_format, op11_hard_negatives, op13_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontamination, op4_simhash_dedup, op5_hmm_score, op6_mixing, op7_suffix_dedup, op8_quality_rules, op9_url_filters, op10_chat_format, op11_hard_negatives, op12_ranked_search, op13_language_id)}
 
 ORACLE: dict[str, str] = dict(oracle.ORACLE)

@@ -1,8 +1,10 @@
 """Hard negatives, ranked search and language ID against brute force."""
 
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 
 from conftest import SF_CHECK
 from edge import documents, empty, expected, got, prose, rows
-from talentlake.llm import hard_negatives, language_id, queries
+from talentlake.llm import hard_negatives, language_id, queries, ranked_search
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType()),
                         # names that the operator uses inside
@@ -138,3 +140,61 @@ def test_language_id_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").join(out, F.col("doc_id") == F.col("id"))
     right, n = docs.where("held_out and lang_pred <> 'und'").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
     assert n > 200 and right > 0.95
+
+
+ITEMS = "item_id long, text string, item string, key string, score string"
+
+
+def brute_search(data, items, k=10):
+    term = lambda t: re.findall("[0-9a-z\\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    rows = [(i, Counter(w), len(w)) for i, t in data if (w := term(t))]
+    n, total = len(rows), sum(x for _, _, x in rows)
+    held = Counter(t for _, c, _ in rows for t in c)
+    for item, text in items:
+        asked, found = term(text), []
+        for i, c, size in rows:
+            m = 100 - 75 + 75 * size * n // total
+            s = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * held[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t in asked if c[t])
+            if s > 0:
+                found.append((i, s))
+        for rank, (i, s) in enumerate(sorted(found, key=lambda x: (-x[1], x[0] is None, x[0] or 0))[:k], 1):
+            yield item, rank, i, s
+
+
+@pytest.mark.parametrize(("block", "group", "small"), [(4096, 16 << 20, 200_000), (8, 150, 0)])
+def test_ranked_search(spark, monkeypatch, block, group, small):
+    monkeypatch.setattr(ranked_search, "BLOCK_ROWS", block)
+    monkeypatch.setattr(ranked_search, "GROUP_BYTES", group)
+    monkeypatch.setattr(ranked_search, "SMALL", small)
+    passage = rows()[5][1]
+    items = [(1, passage), (1, passage), (10, "a A b e"), (11, prose(7, 12)), (12, "one two three three"), (13, None), (14, " !? "), (15, "unseen"), (None, "x"), (16, "line one is here 123")]
+    asked = spark.createDataFrame([(*x, "i", "k", "s") for x in items], ITEMS)
+    out = ranked_search.search(documents(spark), asked)
+    assert got(out, "item_id", "rank", "doc_id", "score") == expected(brute_search([x[:2] for x in rows()], items))
+
+
+def test_bounds_hold_and_exclude(spark):
+    """No bound is below the exact score; most rows are excluded by the floor."""
+    texts = [prose(i, 60 + i % 90) for i in range(600)]
+    asked = [(i, " ".join(texts[i].split()[5:25]).encode()) for i in range(0, 600, 100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    index, n, total = ranked_search.build(docs)
+    group = ranked_search.Group(asked, n, total)
+    sc = spark.sparkContext
+    group.weigh(ranked_search.holders(docs, sc.broadcast(group), len(group.vocabulary)))
+    counts = {r["key"]: Counter(ranked_search.terms(r["text"].encode())) for r in docs.select("text", ranked_search.row_key().alias("key")).collect()}
+    left = 0
+    for block in index.collect():
+        keys = np.frombuffer(block["keys"], np.int64)
+        for item, bound in group.bounds()(block.asDict()):
+            exact = np.array([group.score(item, counts[x], counts[x].total()) for x in keys.tolist()])
+            assert (bound >= exact).all()
+            left += int((bound >= np.sort(exact)[-10]).sum())
+    assert left < 0.2 * 600 * len(asked)
+
+
+def test_ranked_search_of_nothing(spark):
+    some = spark.createDataFrame([(1, "one", "i", "k", "s")], ITEMS)
+    assert ranked_search.search(empty(spark), some).count() == 0
+    assert ranked_search.search(documents(spark), some.limit(0)).count() == 0
+    assert ranked_search.search(documents(spark, [x for x in rows() if not (x[1] or "").strip()]), some).count() == 0
