@@ -66,8 +66,9 @@ def text_bytes(name: str = "text") -> Column:
 
 
 def row_key() -> Column:
-    """64-bit key of a document row; equal for rows that repeat id and text."""
-    return F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+    """64-bit key of a document row; equal for rows that repeat id and text. Nulls count: the
+    hash passes over them, so whether there is one is hashed too."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("string"), F.col("text").isNull(), F.col("text"))
 
 
 def text_size(docs: DataFrame) -> tuple[int, int]:

@@ -227,3 +227,11 @@ def test_chats(spark, chunk):
 def test_no_chats(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.format_chats(none).count() == 0
+
+
+def test_null_id_and_null_text_are_rows_of_their_own(spark):
+    """(5, null) has no words, whatever (null, "5") holds."""
+    benchmark = spark.createDataFrame([(1, "5")], "item_id long, text string")
+    docs = spark.createDataFrame([(5, None), (None, "5")], "doc_id long, text string")
+    out = decontamination.contamination(docs, benchmark)
+    assert got(out, "doc_id", "n_words", "n_hit", "contaminated") == expected([(5, 0, 0, False), (None, 1, 1, True)])
