@@ -119,18 +119,24 @@ def _bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _json_lines(spark: SparkSession, sf: str) -> str:
-    """The listings as JSON lines with every seventh order's line cut short, values of
-    other types than declared, and fields beyond the declared ones."""
+    """The listings as JSON lines, some of them cut short, doubled or followed by other
+    text, with values of other types than declared and fields beyond the declared ones."""
     path = scratch_table(spark)
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").cast("string").alias("day"))
     line = F.to_json(F.struct(F.concat(F.lit("L-"), F.col("o_orderkey")).alias("id_offre"), F.col("o_orderstatus").alias("source"),
                               F.col("day").alias("date_publication"), F.col("o_orderkey").cast("string").alias("nb_postes"), F.lit("fr").alias("langue_requise"),
                               F.col("o_orderkey").alias("champ_inconnu")))
-    cut = F.when(F.col("o_orderkey") % 7 == 0, F.substring(line, F.lit(1), F.length(line) - 3)).otherwise(line)
-    orders.select(cut.alias("value")).write.text(path)
+    orders.select(_damaged(F.col("o_orderkey"), line).alias("value")).write.text(path)
     return path
 
 
+def _damaged(key, text):
+    """Of nine texts by key, five that are not one JSON object."""
+    kind = key % 9
+    return (F.when(kind == 0, F.substring(text, F.lit(1), F.length(text) - 3)).when(kind == 1, F.concat(text, text))
+            .when(kind == 2, F.concat(text, F.lit(" fin"))).when(kind == 3, F.concat(text, F.lit("] "), text)).when(kind == 4, F.concat(F.lit("["), text, F.lit("]"))).otherwise(text))
+
+
 def _bronze_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Lines accepted and rejected, with what each keeps."""
     parsed = B.parse_json_lines(spark, _json_lines(spark, sf))
@@ -142,16 +148,21 @@ def _bronze_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _envelopes(spark: SparkSession, sf: str) -> DataFrame:
-    """Envelope documents of up to 2,000 listings each, written as files and read back."""
+    """Envelope documents of up to 2,000 listings each, written as files and read back: the
+    listings of whole documents, and what is rejected of the others by kind."""
     path = scratch_table(spark)
     orders = read_table(spark, sf, "orders")
     listing = F.to_json(F.struct(F.concat(F.lit("L-"), F.col("o_orderkey")).alias("id_offre"), F.col("o_orderpriority").alias("secteur"),
                                  F.col("o_custkey").cast("int").alias("nb_postes")))
     docs = orders.groupBy(F.floor(F.col("o_orderkey") / 2000).alias("doc")).agg(F.array_join(F.collect_list(listing), ",").alias("o"))
     text = F.concat(F.lit('{"metadata": {"partition": "x"}, "offres": ['), F.col("o"), F.lit("]}"))
-    # a file holds one document: one partition folder each
-    docs.select(text.alias("value"), "doc").write.partitionBy("doc").text(path)
-    return B.read_envelope(spark, f"{path}/*").select("id_offre", "secteur", F.col("nb_postes").cast("double").alias("nb_postes"))
+    # a file holds one document: one partition folder each; every second one is whole
+    damaged = F.when(F.col("doc") % 2 == 0, text).otherwise(_damaged(F.floor(F.col("doc") / 2) % 5, text))
+    docs.select(damaged.alias("value"), "doc").write.partitionBy("doc").text(path)
+    parsed = B.parse_envelopes(spark, f"{path}/*")
+    listings = B.accepted(parsed, "reject").select("id_offre", "secteur", F.col("nb_postes").cast("double").alias("nb_postes"), F.lit(None).cast("bigint").alias("document"))
+    none = [F.lit(None).cast(k).alias(c) for c, k in (("id_offre", "string"), ("secteur", "string"), ("nb_postes", "double"))]
+    return listings.unionByName(B.rejects(parsed).select(*none, F.regexp_extract("fichier", "doc=([0-9]+)", 1).cast("bigint").alias("document")))
 
 
 def _lake(spark: SparkSession, sf: str) -> pipeline.LakePaths:
@@ -599,9 +610,10 @@ FROM grid g LEFT JOIN agg a USING (profil)"""),
     "v4_month_pivot": _pivot_sql(),
     "bronze_rejects": """WITH o AS (SELECT o_orderkey AS k, '{"id_offre":"L-' || o_orderkey || '","source":"' || o_orderstatus || '","date_publication":"'
       || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '","nb_postes":"' || o_orderkey || '","langue_requise":"fr","champ_inconnu":' || o_orderkey || '}' AS line FROM orders)
-SELECT 'accepte' AS etat, 'L-' || k AS id_offre, CAST(k AS DOUBLE) AS nb_postes, 'fr' AS langues, CAST(k AS VARCHAR) AS champ_inconnu, CAST(NULL AS VARCHAR) AS texte FROM o WHERE k % 7 <> 0
-UNION ALL SELECT 'rejete', NULL, NULL, NULL, NULL, left(line, length(line) - 3) FROM o WHERE k % 7 = 0""",
-    "envelope_read": "SELECT 'L-' || o_orderkey AS id_offre, o_orderpriority AS secteur, CAST(o_custkey AS DOUBLE) AS nb_postes FROM orders",
+SELECT 'accepte' AS etat, 'L-' || k AS id_offre, CAST(k AS DOUBLE) AS nb_postes, 'fr' AS langues, CAST(k AS VARCHAR) AS champ_inconnu, CAST(NULL AS VARCHAR) AS texte FROM o WHERE k % 9 > 4
+UNION ALL SELECT 'rejete', NULL, NULL, NULL, NULL, CASE k % 9 WHEN 0 THEN left(line, length(line) - 3) WHEN 1 THEN line || line WHEN 2 THEN line || ' fin' WHEN 3 THEN line || '] ' || line ELSE '[' || line || ']' END FROM o WHERE k % 9 <= 4""",
+    "envelope_read": """SELECT 'L-' || o_orderkey AS id_offre, o_orderpriority AS secteur, CAST(o_custkey AS DOUBLE) AS nb_postes, CAST(NULL AS BIGINT) AS document FROM orders WHERE (o_orderkey // 2000) % 2 = 0
+UNION ALL SELECT DISTINCT NULL, NULL, NULL, o_orderkey // 2000 FROM orders WHERE (o_orderkey // 2000) % 2 = 1""",
     "q3_national_exact": _silver(f"""SELECT profil_normalise AS profil, COUNT(*) AS nb_offres_total, COUNT(*) FILTER (salaire_connu) AS nb_avec_salaire,
     CAST(CAST(floor(COUNT(*) FILTER (salaire_connu) * 100.0 / COUNT(*) + 0.5) AS BIGINT) AS VARCHAR) || '%' AS pct_salaire,
     {rhu("MEDIAN(salaire_median_mad) FILTER (salaire_connu)")} AS salaire_median_mad, {rhu("MIN(salaire_min_mad)")} AS salaire_plancher, {rhu("MAX(salaire_max_mad)")} AS salaire_plafond

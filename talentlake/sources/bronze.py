@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from talentlake import lexicons as L
 from talentlake.functions.normalize import text_or_list
 from talentlake.schema import (
-    BRONZE, BRONZE_META_COLUMNS, BRONZE_PARTITION_COLUMNS, ENVELOPE, RAW_COLUMNS, RAW_JSON, RAW_LISTING,
+    BRONZE, BRONZE_META_COLUMNS, BRONZE_PARTITION_COLUMNS, RAW_COLUMNS, RAW_JSON, RAW_LISTING,
 )
 
 
@@ -43,6 +43,24 @@ def with_partition_keys(raw: DataFrame) -> DataFrame:
 
 
 CORRUPT = "_corrupt"
+# as a strict reader has it: no single quotes; what follows a value is not skipped (see ``whole_json``)
+STRICT = {"allowSingleQuotes": "false"}
+SEAL = "_seal"
+
+
+def whole_json(text: Column, fields: T.StructType) -> Column:
+    """The text's one JSON object as a struct of ``fields``, or NULL where the text is not
+    one object and nothing else (cut, doubled, followed by other text, not an object).
+
+    Spark's JSON functions read the first value of a text and skip the rest. So the text is
+    read as the first of two array elements, the second being an object with the hash of the
+    text: only if the text is one whole value does the array have two elements, the second of
+    them that hash, which no text can hold of itself."""
+    sealed = T.StructType([*fields.fields, T.StructField(SEAL, T.StringType())])
+    seal = F.sha2(text, 256)
+    pair = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{SEAL}":"'), seal, F.lit('"}]')), T.ArrayType(sealed), STRICT)
+    whole = (F.size(pair) == 2) & (F.get(pair, F.lit(1))[SEAL] == seal) & F.trim(text, F.lit(" \t\r\n")).startswith("{")
+    return F.when(whole, F.get(pair, F.lit(0)))
 
 
 def parsed_listings(texts: DataFrame) -> DataFrame:
@@ -52,28 +70,27 @@ def parsed_listings(texts: DataFrame) -> DataFrame:
     Every field is read as text and then cast, so a value of another type than
     declared (``"nb_postes": "3"``) is kept where it can be, and the listing itself
     always is. A language list may also be one plain text."""
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_LISTING.fields] + [T.StructField(CORRUPT, T.StringType())])
-    x = texts.withColumn("_p", F.from_json(RAW_JSON, as_text, {"columnNameOfCorruptRecord": CORRUPT}))
-    whole = F.trim(F.col(RAW_JSON)).startswith("{")
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_LISTING.fields])
+    x = texts.withColumn("_p", whole_json(F.col(RAW_JSON), as_text))
     cols = []
     for f in RAW_LISTING.fields:
         value = F.col(f"_p.{f.name}")
         cols.append((text_or_list(value) if isinstance(f.dataType, T.ArrayType) else value.try_cast(f.dataType)).alias(f.name))
-    corrupt = F.when(F.col(f"_p.{CORRUPT}").isNotNull() | ~F.coalesce(whole, F.lit(False)), F.coalesce(F.col(RAW_JSON), F.lit("")))
+    corrupt = F.when(F.col("_p").isNull(), F.coalesce(F.col(RAW_JSON), F.lit("")))
     kept = [c for c in texts.columns if c != RAW_JSON]
     return x.select(*cols, RAW_JSON, corrupt.alias(CORRUPT), *kept)
 
 
 def accepted(parsed: DataFrame, on_error: str) -> DataFrame:
     """Parsed rows without the corrupt ones (``on_error="reject"``; ``rejects`` has
-    them), or an error at the first one (``"fail"``)."""
+    them), or an error at the first one (``"fail"``). The error is raised by a filter, so
+    it does not depend on the columns that are read later."""
     if on_error == "reject":
         return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     if on_error != "fail":
         raise ValueError("on_error must be 'fail' or 'reject'")
     bad = F.concat(F.lit("not a JSON listing: "), F.substring(CORRUPT, 1, 200))
-    checked = F.when(F.col(CORRUPT).isNotNull(), F.raise_error(bad)).otherwise(F.col(RAW_JSON))
-    return parsed.withColumn(RAW_JSON, checked).drop(CORRUPT)
+    return parsed.where(F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(F.raise_error(bad).cast("boolean"))).drop(CORRUPT)
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
@@ -81,17 +98,26 @@ def rejects(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("texte"), *[c for c in parsed.columns if c == "fichier"])
 
 
+def opened_envelopes(docs: DataFrame) -> DataFrame:
+    """Whole documents (``value``) to parsed listings, with the other columns and the
+    listing's place in its document (``position``). A missing or null ``offres`` gives no
+    rows; a document that is not one JSON object, or whose ``offres`` is no array, is one
+    corrupt row."""
+    shape = T.StructType([T.StructField("offres", T.StringType())])
+    kept = [c for c in docs.columns if c != "value"]
+    x = docs.withColumn("_d", whole_json(F.col("value"), shape))
+    x = x.withColumn("_o", F.from_json("_d.offres", "array<string>", STRICT))
+    broken = F.col("_d").isNull() | (F.col("_d.offres").isNotNull() & (F.col("_o").isNull() | ~F.startswith(F.col("_d.offres"), F.lit("["))))
+    texts = F.when(broken, F.array(F.col("value"))).otherwise(F.coalesce(F.col("_o"), F.array().cast("array<string>")))
+    parsed = parsed_listings(x.select(*kept, broken.alias("_broken"), F.posexplode(texts).alias("position", RAW_JSON)))
+    return parsed.withColumn(CORRUPT, F.when(F.col("_broken"), F.col(RAW_JSON)).otherwise(F.col(CORRUPT))).drop("_broken")
+
+
 def parse_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """Envelope documents ``{"metadata": {...}, "offres": [...]}``, one a file, to
-    parsed listings. A missing ``offres`` array gives no rows; a document that is
-    not JSON is one corrupt row."""
+    parsed listings (``opened_envelopes``), with the file's path as ``fichier``."""
     docs = spark.read.text(path, wholetext=True).select(F.col("value"), F.col("_metadata.file_path").alias("fichier"))
-    shape = T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())])
-    x = docs.withColumn("_d", F.from_json("value", shape, {"columnNameOfCorruptRecord": CORRUPT}))
-    broken = F.col(f"_d.{CORRUPT}").isNotNull() | ~F.trim("value").startswith("{")
-    texts = F.when(broken, F.array(F.col("value"))).otherwise(F.coalesce(F.col("_d.offres"), F.array().cast("array<string>")))
-    parsed = parsed_listings(x.select("fichier", broken.alias("_broken"), F.explode(texts).alias(RAW_JSON)))
-    return parsed.withColumn(CORRUPT, F.when(F.col("_broken"), F.col(RAW_JSON)).otherwise(F.col(CORRUPT))).drop("_broken")
+    return opened_envelopes(docs).drop("position")
 
 
 def read_envelope(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:

@@ -109,7 +109,7 @@ def test_dirty_json_lines(spark, scratch):
     import pytest
 
     good = [{"id_offre": "a", "nb_postes": "3", "langue_requise": "anglais", "extra": {"x": 1}}, {"id_offre": "b", "nb_postes": "trois", "langue_requise": ["fr", "en"]}, {"id_offre": "c", "langue_requise": None}, {}]
-    bad = ['{"id_offre": "d"', "[1, 2]", "texte", "12"]
+    bad = ['{"id_offre": "d"', "[1, 2]", "texte", "12", '{"id_offre": "e"}{"id_offre": "f"}', '{"id_offre": "g"} fin', '{"id_offre": "h"}]', '{"id_offre": "i"},{"id_offre": "j"}', '{"id_offre": "k"},{"_seal": "x"}] fin', "{'id_offre': 'l'}", "null"]
     path = os.path.join(scratch, "lines.json")
     with open(path, "w", encoding="utf-8") as f:
         f.write("\n".join([*map(json.dumps, good), "", *bad]) + "\n")
@@ -117,8 +117,9 @@ def test_dirty_json_lines(spark, scratch):
     assert [(r.id_offre, r.nb_postes, r.langue_requise) for r in rows] == [("a", 3, ["anglais"]), ("b", None, ["fr", "en"]), ("c", None, None), (None, None, None)]
     assert json.loads(rows[0].listing_json) == good[0] and json.loads(rows[1].listing_json)["nb_postes"] == "trois"
     assert sorted(r.texte for r in B.rejects(B.parse_json_lines(spark, path)).collect()) == sorted(bad)
-    with pytest.raises(Exception, match="not a JSON listing"):
-        B.read_raw_json_lines(spark, path).collect()
+    for read in (lambda df: df.collect(), lambda df: df.select("id_offre").collect(), lambda df: df.count(), lambda df: df.select(F.lit(1)).collect(), lambda df: df.where("id_offre = 'a'").select("ville").collect()):
+        with pytest.raises(Exception, match="not a JSON listing"):
+            read(B.read_raw_json_lines(spark, path))
 
 
 def test_dirty_envelopes(spark, scratch):
@@ -126,16 +127,17 @@ def test_dirty_envelopes(spark, scratch):
 
     import pytest
 
-    docs = {"ok": json.dumps({"metadata": {}, "offres": [{"id_offre": "a", "champ": 1}, {"id_offre": "b"}]}), "none": "{}", "broken": '{"offres": [{"id_offre": "c"}', "text": "pas du json"}
+    docs = {"ok": json.dumps({"metadata": {}, "offres": [{"id_offre": "a", "champ": 1}, {"id_offre": "b"}]}), "none": "{}", "broken": '{"offres": [{"id_offre": "c"}', "text": "pas du json", "twice": '{"offres": []}{"offres": [{"id_offre": "d"}]}', "trailing": '{"offres": [{"id_offre": "e"}]} fin', "object": '{"offres": {"id_offre": "f"}}', "null": '{"offres": null}', "odd": '{"offres": [12]}'}
     for name, text in docs.items():
         with open(os.path.join(scratch, name + ".json"), "w", encoding="utf-8") as f:
             f.write(text)
     got = B.read_envelope(spark, scratch + "/*.json", on_error="reject").collect()
     assert sorted(r.id_offre for r in got) == ["a", "b"] and json.loads(min(r.listing_json for r in got))["id_offre"] == "a"
     found = B.rejects(B.parse_envelopes(spark, scratch + "/*.json")).collect()
-    assert sorted(r.texte for r in found) == sorted([docs["broken"], docs["text"]]) and all(r.fichier.endswith(".json") for r in found)
-    with pytest.raises(Exception, match="not a JSON listing"):
-        B.read_envelope(spark, scratch + "/*.json").collect()
+    assert sorted(r.texte for r in found) == sorted([*(docs[k] for k in ("broken", "text", "twice", "trailing", "object")), "12"]) and all(r.fichier.endswith(".json") for r in found)
+    for columns in ("*", "id_offre"):
+        with pytest.raises(Exception, match="not a JSON listing"):
+            B.read_envelope(spark, scratch + "/*.json").select(columns).collect()
 
 
 def test_unknown_fields_survive_bronze(spark, scratch):
