@@ -35,23 +35,29 @@ def top_skills(skills: DataFrame, silver: DataFrame | None = None, with_total_le
     ``profil = 'tous'`` ranks the skills over all listings;
     ``with_profiles=False`` leaves only that one.
 
-    The (listing, skill) pairs are shuffled once: a listing id's rows of one
-    skill become one row with the set of its profiles, and both levels are
-    counts over these rows. ``unique_ids=True`` states that no id occurs in two
-    listings; then rows are counted as they are, and no pair is shuffled at all.
+    The (listing, skill) pairs are shuffled once, by pair, and made distinct where they
+    arrive (an id hardly repeats, so there is next to nothing to combine before): by pair and
+    profile for the profile level, by pair alone for the all-listings level. For both levels
+    at once, a pair's first profile also counts for all listings. ``unique_ids=True`` states that no id occurs in
+    two listings; then rows are counted as they are, and no pair is shuffled at all.
 
     The denominator is COUNT(DISTINCT id) over ``silver`` (a one-column read; on a
     lazy silver plan, the key of the listing view after column pruning), or
     over the skills table, where every listing has at least one row."""
-    levels = [F.col("profil")] if with_profiles else []
-    labels = [F.lit(total_label)] if with_total_level else []
     known = skills.filter(F.col("competence") != F.lit(L.SKILL_SENTINEL))
+    pair, total = ["id_offre", "famille", "competence"], F.lit(total_label).alias("profil")
     if unique_ids:
-        each = known.select("famille", "competence", F.explode(F.array(*levels, *labels)).alias("profil"))
+        labels = [F.col("profil")] * with_profiles + [F.lit(total_label)] * with_total_level
+        each = known.select("famille", "competence", F.explode(F.array(*labels)).alias("profil"))
+    elif not with_profiles:
+        each = known.select(*pair).repartition(*pair).distinct().select("famille", "competence", total)
+    elif not with_total_level:
+        each = known.select(*pair, "profil").repartition(*pair).distinct()
     else:
-        pairs = known.groupBy("id_offre", "famille", "competence").agg(F.collect_set("profil").alias("_in"))
-        held = F.col("_in") if with_profiles else F.array().cast("array<string>")
-        each = pairs.select("famille", "competence", F.explode(F.concat(held, F.array(*labels).cast("array<string>"))).alias("profil"))
+        in_profile = known.select(*pair, "profil").repartition(*pair).distinct()
+        first = F.row_number().over(Window.partitionBy(*pair).orderBy("profil")) == 1
+        here = F.when(F.col("_first"), F.array(F.col("profil"), F.lit(total_label))).otherwise(F.array("profil"))
+        each = in_profile.withColumn("_first", first).select("famille", "competence", F.explode(here).alias("profil"))
     counts = each.groupBy("profil", "famille", "competence").agg(F.count(F.lit(1)).alias("nb_offres_mentionnent"))
     ids = silver if silver is not None else skills
     ids = ids.select(F.count(F.lit(1)) if unique_ids and silver is not None else F.countDistinct("id_offre"))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from talentlake import lexicons as L
 from talentlake.operators import gold as G
+from talentlake.operators import gold_state as S
 from talentlake.operators.silver import to_silver
 from talentlake.operators.skills import Dictionary, extract_skills
 from talentlake.sources import bronze as B
@@ -60,14 +61,17 @@ class LakePaths:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    def gold_state(self, name: str) -> str:
+        return f"{self.root}/gold_state/{name}"
+
 
 def run_bronze(raw: DataFrame, paths: LakePaths, source_file: str = "") -> None:
-    """Land the raw listings, then write the partitions' metadata from what was
-    landed, and the report from the metadata: the input is evaluated once, and
-    what was landed is read once."""
+    """Land the raw listings, then bring the partitions' metadata up to date from the
+    partitions just landed, and the report from the metadata: the input is evaluated once,
+    what was landed is read once, and partitions landed earlier are not read."""
     spark = raw.sparkSession
     B.write_bronze(raw, paths.bronze, source_file)
-    export_json(B.partition_metadata(B.read_bronze(spark, paths.bronze)), paths.bronze_metadata)
+    B.update_metadata(spark, paths.bronze, paths.bronze_metadata)
     export_json(B.ingestion_report(B.read_metadata(spark, paths.bronze_metadata)), paths.ingestion_report)
 
 
@@ -122,9 +126,65 @@ def run_gold(spark: SparkSession, paths: LakePaths, concurrent: bool = True) ->
             f.result()
 
 
+def update_gold(spark: SparkSession, paths: LakePaths, months: Sequence[str]) -> None:
+    """Gold by month: renews the partial states of ``months`` from silver and skills, and
+    finishes the five tables from the states. Only these months' listings are read; months
+    that have no state yet (all of them, the first time) are made up for."""
+    made = {"silver": paths.silver_listings, "skills": paths.silver_skills}
+    there = {kind: {r[MONTH] for r in stored_months(spark, path).collect()} for kind, path in made.items()}
+
+    def renew(name: str) -> None:
+        kind, state, finish = S.STATES[name]
+        path = paths.gold_state(name)
+        have = {r[MONTH] for r in stored_months(spark, path).collect()} if B._exists(spark, path) else set()
+        todo = sorted((there[kind] - have) | set(months))
+        source = read_table(spark, made[kind]).where(F.col(MONTH).isin(todo))
+        write_table(state(source, MONTH), path, [MONTH], whole=False)
+        write_table(finish(read_table(spark, path)), paths.gold(name))
+
+    with ThreadPoolExecutor(max_workers=len(S.STATES)) as pool:
+        for f in [pool.submit(renew, name) for name in S.STATES]:
+            f.result()
+
+
+def stored_months(spark: SparkSession, path: str) -> DataFrame:
+    """The month partitions of a table, from the names of its folders."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    return listed.select(F.regexp_extract("path", f"/{MONTH}=([^/]*)/", 1).alias(MONTH)).distinct()
+
+
+def register_views(spark: SparkSession, paths: LakePaths, prefix: str = "") -> list[str]:
+    """Temporary views of the lake's tables, for SQL by name: ``offres_clean``,
+    ``competences_extraites`` and the five gold tables (those that are written)."""
+    tables = {"offres_clean": paths.silver_listings, "competences_extraites": paths.silver_skills} | {name: paths.gold(name) for name in GOLD_TABLES}
+    made = []
+    for name, path in tables.items():
+        if B._exists(spark, path):
+            table = read_table(spark, path)
+            (table.drop(MONTH) if MONTH in table.columns else table).createOrReplaceTempView(f"{prefix}{name}")
+            made.append(f"{prefix}{name}")
+    return made
+
+
+def save_catalog(spark: SparkSession, paths: LakePaths, database: str) -> list[str]:
+    """The lake's tables as external tables of a catalog database, which later sessions can name."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{paths.root}/catalog'")
+    tables = {"offres_clean": paths.silver_listings, "competences_extraites": paths.silver_skills} | {name: paths.gold(name) for name in GOLD_TABLES}
+    made = []
+    for name, path in tables.items():
+        if B._exists(spark, path):
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+            spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+            if MONTH in read_table(spark, path).columns:
+                spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
+            made.append(f"{database}.{name}")
+    return made
+
+
 def run(spark: SparkSession, raw: DataFrame | None, root: str, stages=STAGES, source_file: str = "",
         dictionary: Dictionary | None = None, months: Sequence[str] | None = None) -> LakePaths:
-    """Run the selected stages in order; ``raw`` is needed for bronze only."""
+    """Run the selected stages in order; ``raw`` is needed for bronze only. months: silver and
+    gold are renewed for these months (``YYYY_MM`` keys) alone, and gold from monthly states."""
     paths = LakePaths(root.rstrip("/"))
     for stage in stages:
         if stage == "bronze":
@@ -133,6 +193,8 @@ def run(spark: SparkSession, raw: DataFrame | None, root: str, stages=STAGES, so
             run_bronze(raw, paths, source_file)
         elif stage == "silver":
             run_silver(spark, paths, dictionary, months)
+        elif stage == "gold" and months is not None:
+            update_gold(spark, paths, months)
         elif stage == "gold":
             run_gold(spark, paths)
         else:

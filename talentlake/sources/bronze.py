@@ -11,6 +11,10 @@ only re-runs its task.
 
 from __future__ import annotations
 
+import time
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -182,9 +186,88 @@ def partition_metadata(landed: DataFrame) -> DataFrame:
              "source_fichier", "date_ingestion", "schema_version")
 
 
+# A log of landings: a row for each partition landed (or taken away), the latest version counts.
+MANIFEST = ("partition string, source_key string, month_key string, nb_offres long, source_fichier string, date_ingestion string, "
+            "schema_version string, empreinte long, version long, retire boolean")
+
+
+def bronze_files(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """(source_key, month_key, fichier): bronze's files from the listing of its folders; no file is opened."""
+    path = F.col("path")
+    # as Spark writes a folder's name: special characters as %XX
+    value = lambda key: F.url_decode(F.replace(F.regexp_extract(path, f"/{key}=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+    keys = [F.when(value(k) != "__HIVE_DEFAULT_PARTITION__", value(k)).alias(k) for k in BRONZE_PARTITION_COLUMNS]
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(bronze_path)
+    return listed.select(*keys, F.regexp_extract(path, "[^/]*$", 0).alias("fichier"))
+
+
+def stored_partitions(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """(source_key, month_key) of the partitions that bronze holds, sorted (S6): from folder names alone."""
+    return list_partitions(bronze_files(spark, bronze_path))
+
+
+def _latest(spark: SparkSession, metadata_path: str) -> DataFrame:
+    if not _exists(spark, metadata_path):
+        return spark.createDataFrame([], MANIFEST)
+    log = spark.read.schema(MANIFEST).json(metadata_path)
+    last = log.groupBy(*BRONZE_PARTITION_COLUMNS).agg(F.max_by(F.struct(*[c for c in log.columns if c not in BRONZE_PARTITION_COLUMNS]), "version").alias("_m"))
+    return last.select(*BRONZE_PARTITION_COLUMNS, "_m.*").where(~F.col("retire"))
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Partition metadata as ``export_json`` wrote it."""
-    return spark.read.schema("partition string, source_key string, month_key string, nb_offres long, source_fichier string, date_ingestion string, schema_version string").json(path)
+    """Each partition's latest metadata, of the log that ``update_metadata`` keeps."""
+    return _latest(spark, path).select("partition", *BRONZE_PARTITION_COLUMNS, "nb_offres", "source_fichier", "date_ingestion", "schema_version")
+
+
+def touched_partitions(spark: SparkSession, bronze_path: str, metadata_path: str) -> tuple[dict[tuple, int], list[tuple]]:
+    """Partitions whose files are not those that the metadata was made from, with the
+    fingerprint of their files; and partitions of the metadata that are no longer there.
+
+    A file's name is new with every landing, so the names tell whether a partition was
+    landed since, also by a run that ended before it could write its metadata. Both sides have
+    one row a partition: as many as the folders that Spark lists on the driver to plan a read."""
+    prints = lambda df: {(r["source_key"], r["month_key"]): r["empreinte"] for r in df.collect()}
+    now = prints(bronze_files(spark, bronze_path).groupBy(*BRONZE_PARTITION_COLUMNS).agg(F.bit_xor(F.xxhash64("fichier")).alias("empreinte")))
+    known = prints(_latest(spark, metadata_path))
+    return {k: v for k, v in now.items() if known.get(k) != v}, [k for k in known if k not in now]
+
+
+# Partitions named in a filter, which prunes to their folders; beyond, all are read and joined.
+NAMED = 1000
+
+
+def update_metadata(spark: SparkSession, bronze_path: str, metadata_path: str) -> int:
+    """Brings the partitions' metadata up to date with bronze: reads the partitions landed
+    since, and no others, and adds their rows to the log; returns how many there were."""
+    changed, gone = touched_partitions(spark, bronze_path, metadata_path)
+    version = time.time_ns()
+    parts = []
+    if changed:
+        landed = read_bronze(spark, bronze_path)
+        if len(changed) <= NAMED:
+            months: dict[str, list[str]] = {}
+            for source, month in changed:
+                months.setdefault(source, []).append(month)
+            named = [F.col("source_key").eqNullSafe(F.lit(source)) & F.col("month_key").isin(found) for source, found in months.items()]
+            landed = landed.where(reduce(or_, named))
+        marks = spark.createDataFrame([(*k, v) for k, v in changed.items()], "source_key string, month_key string, empreinte long")
+        rows = partition_metadata(landed)
+        parts.append(rows.join(marks, [rows[c].eqNullSafe(marks[c]) for c in BRONZE_PARTITION_COLUMNS]).select(rows["*"], "empreinte", F.lit(False).alias("retire")))
+    if gone:
+        parts.append(spark.createDataFrame(gone, "source_key string, month_key string").withColumn("retire", F.lit(True)))
+    if parts:
+        log = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).withColumn("version", F.lit(version))
+        log.coalesce(1).write.mode("append").json(metadata_path)
+    return len(changed)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = _path(spark, path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def ingestion_report(keyed: DataFrame) -> DataFrame:
@@ -223,4 +306,6 @@ __all__ = [
     "source_key", "month_key", "with_partition_keys", "read_envelope", "read_raw_json_lines",
     "parsed_listings", "parse_envelopes", "parse_json_lines", "rejects", "partition_metadata",
     "write_bronze", "read_bronze", "ingestion_report", "list_partitions", "BRONZE_META_COLUMNS",
+    "bronze_files", "stored_partitions", "touched_partitions", "update_metadata", "read_metadata", "whole_json",
+    "opened_envelopes", "accepted",
 ]

@@ -6,13 +6,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talentlake.schema import COMPANIES
 
 
 def read_companies(spark: SparkSession, path: str) -> DataFrame:
-    """Company reference CSV (header row, six text columns, declared schema)."""
-    return spark.read.csv(path, header=True, schema=COMPANIES)
+    """Company reference CSV (header row, six text columns, declared schema; a quote inside
+    a quoted value is doubled, and values may hold line ends)."""
+    return spark.read.csv(path, header=True, schema=COMPANIES, escape='"', multiLine=True)
 
 
 def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), whole: bool = True) -> None:
@@ -48,3 +51,26 @@ def export_bundle(results: dict[str, DataFrame], root: str) -> dict[str, str]:
         export_json(df, path)
         paths[name] = path
     return paths
+
+
+def bundle_document(spark: SparkSession, results: dict[str, DataFrame]) -> DataFrame:
+    """One row, one column ``value``: a JSON object with each result's records as an array under its
+    name, in the result's order, NULLs included. For report-sized results only: the document is one row."""
+    def records(df: DataFrame):
+        # the place of a row in the sorted result
+        placed = df.select(F.monotonically_increasing_id().alias("i"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("r"))
+        return placed.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "r"))), lambda x: x["r"])).scalar()
+
+    document = F.struct(*[records(df).alias(name) for name, df in results.items()])
+    return spark.range(1).select(F.to_json(document, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def export_bundle_document(spark: SparkSession, results: dict[str, DataFrame], path: str) -> None:
+    """The bundle as one JSON document: a folder with one text file."""
+    bundle_document(spark, results).coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_bundle_document(spark: SparkSession, path: str, name: str, like: DataFrame) -> DataFrame:
+    """The records of one result of a bundle document, with the columns of ``like``."""
+    shape = T.StructType([T.StructField(name, T.ArrayType(like.schema))])
+    return spark.read.text(path, wholetext=True).select(F.inline(F.from_json("value", shape)[name]))

@@ -172,7 +172,7 @@ def test_report_of_what_was_landed(spark, scratch):
     paths = pipeline.run(spark, raw, os.path.join(scratch, "lake"), stages=("bronze",))
     total = spark.read.json(paths.ingestion_report).filter("niveau = 'total'").first()
     assert total.nb_offres == raw.count() and total.date_ingestion[:2] == "20"
-    assert total.nb_fichiers == spark.read.json(paths.bronze_metadata).count()
+    assert total.nb_fichiers == B.read_metadata(spark, paths.bronze_metadata).count()
 
 
 def test_company_csv(spark, scratch):
@@ -199,3 +199,42 @@ def test_stages_run_separately(spark, scratch):
     assert spark.read.parquet(paths.silver_listings).count() == raw.count()
     assert spark.read.json(paths.ingestion_report).filter("niveau = 'total'").first().nb_offres == raw.count()
     assert spark.read.parquet(paths.gold("tendances_mensuelles")).count() > 0
+
+
+def test_metadata_of_touched_partitions(spark, scratch):
+    """A replayed month is all that is read again; a partition taken away leaves the metadata."""
+    import shutil
+
+    raw = listings_from_tables(spark, SF_SMALL)
+    paths = pipeline.run(spark, raw, os.path.join(scratch, "lake"), stages=("bronze",))
+    keyed = B.with_partition_keys(raw)
+    want = lambda df: sorted(map(tuple, B.partition_metadata(df).select("partition", "nb_offres").collect()))
+    have = lambda: sorted(map(tuple, B.read_metadata(spark, paths.bronze_metadata).select("partition", "nb_offres").collect()))
+    assert have() == want(B.read_bronze(spark, paths.bronze)) and len(have()) > 50
+    assert B.update_metadata(spark, paths.bronze, paths.bronze_metadata) == 0
+    month = keyed.where("month_key <> 'date_inconnue'").agg(F.max("month_key")).first()[0]
+    one = keyed.where(F.col("month_key") == month).drop("source_key", "month_key")
+    B.write_bronze(one.unionByName(one), paths.bronze, "replay.json")
+    changed, gone = B.touched_partitions(spark, paths.bronze, paths.bronze_metadata)
+    assert {m for _, m in changed} == {month} and not gone
+    B.update_metadata(spark, paths.bronze, paths.bronze_metadata)
+    log = spark.read.schema(B.MANIFEST).json(paths.bronze_metadata)
+    assert {r.month_key for r in log.where("source_fichier = 'replay.json'").collect()} == {month} and log.count() == len(have()) + len(changed)
+    assert have() == want(B.read_bronze(spark, paths.bronze))
+    assert sum(n for _, n in have()) == raw.count() + one.count()
+    first = sorted(os.listdir(paths.bronze))[-1]
+    shutil.move(os.path.join(paths.bronze, first), os.path.join(scratch, "away"))
+    B.update_metadata(spark, paths.bronze, paths.bronze_metadata)
+    assert have() == want(B.read_bronze(spark, paths.bronze))
+
+
+def test_partitions_from_folders(spark, scratch):
+    raw = spark.createDataFrame([("a", "Rekrute +1", "2024-03-01"), ("b", "é/x:y", "2024-04"), ("c", None, "x"), ("d", "0123", "2024-03")], "id_offre string, source string, date_publication string")
+    for f in B.RAW_LISTING.fields:
+        if f.name not in raw.columns:
+            raw = raw.withColumn(f.name, F.lit(None).cast(f.dataType))
+    path = os.path.join(scratch, "bronze")
+    B.write_bronze(raw, path)
+    found = B.stored_partitions(spark, path)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, B.list_partitions(B.with_partition_keys(raw)).collect()))
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
