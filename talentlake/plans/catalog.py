@@ -105,6 +105,7 @@ def once(gold):
 
 
 pay_table, city_table, recruiters_table, trends_table = once(gold_pay), once(gold_city), once(gold_rec), once(gold_trends)
+profiles_table = once(gold_profiles)
 counts_table = once(lambda spark, sf: I.pay_counts(silver(spark, sf)))
 
 
@@ -363,7 +364,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_recruiters": gold_rec,
     "gold_trends": lambda s, d: as_double(gold_trends(s, d)),
     "q1_top20": lambda s, d: I.top_skills_overall(gold_total(s, d), 20),
-    "q1_top5_profiles": lambda s, d: I.top_skills_for_profiles(gold_profiles(s, d)),
+    "q1_top5_profiles": lambda s, d: I.top_skills_for_profiles(profiles_table(s, d)),
     "q2_city_rank": lambda s, d: I.city_rank(city_table(s, d)),
     "q2_city_share": lambda s, d: I.city_share(I.city_rank(city_table(s, d))),
     "q2_city_vs_city": lambda s, d: I.city_vs_city(city_table(s, d)),
