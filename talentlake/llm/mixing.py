@@ -34,6 +34,7 @@ from talentlake.llm.common import SPACE, forget, row_key, written
 
 EXACT = "decimal(38,6)"
 SALTS = 64
+SMALL = 100_000  # sources up to which a row for each is broadcast, after counting them
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -119,17 +120,20 @@ def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), most: int = 3) -> Dat
     passed = lambda k: F.floor(F.col("run") + step * k + F.lit(0.5).cast("decimal(2,1)"))
     copies = (F.floor("rate") + passed(F.col("k") + 1) - passed(F.col("k"))).cast("long")
     out = out.withColumn("copies", copies).select("key", "k", "rid", "doc_id", "size", "source_size", "target", "rate", "copies")
+    few = state.count() <= SMALL
     for _ in range(2):
-        out = settled(written(out), most)
+        out = settled(written(out), most, few)
     return out.select("rid", "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rate", "copies")
 
 
-def settled(rows: DataFrame, most: int) -> DataFrame:
+def settled(rows: DataFrame, most: int, few: bool) -> DataFrame:
     """One copy more or less of one document of each source, where that brings the
-    source nearer to its target."""
+    source nearer to its target. few: sources are few enough to be broadcast, so that rows
+    are not dealt by source."""
+    each = F.broadcast if few else (lambda x: x)
     lacks = rows.groupBy("key").agg((F.max("target") - F.sum(F.col("copies") * F.col("size")).cast("double")).alias("lack"))
-    both = rows.join(lacks, "key").where(F.col("size") > 0)
+    both = rows.join(each(lacks), "key").where(F.col("size") > 0)
     change = lambda by, may: F.when(may & (F.abs(F.col("lack") - by * F.col("size")) < F.abs("lack")), F.struct(F.abs(F.col("lack") - by * F.col("size")).alias("off"), F.col("size").alias("s"), F.col("k").alias("at"), F.lit(by).alias("by")))
     best = F.least(change(1, F.col("copies") < most), change(-1, F.col("copies") > 0))
     chosen = both.groupBy("key").agg(F.min(best).alias("best")).where("best is not null").select("key", F.col("best.s").alias("size"), F.col("best.at").alias("k"), F.col("best.by").alias("by"))
-    return rows.join(chosen, ["key", "size", "k"], "left").withColumn("copies", F.col("copies") + F.coalesce("by", F.lit(0))).drop("by")
+    return rows.join(each(chosen), ["key", "size", "k"], "left").withColumn("copies", F.col("copies") + F.coalesce("by", F.lit(0))).drop("by")

@@ -295,11 +295,12 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, keyed: bool = False) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; component_id: the smallest
-    doc_id that links lead to. keyed: with its row key ``rid``, the last."""
+    doc_id that links lead to. keyed: with its row key ``rid`` and its component's ``root``, a
+    fingerprint, which is there also where no row of the component has an id."""
     prints = written(fingerprints(docs, shingle, keyed))
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct, distance))
     grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(ids, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *(["rid"] if keyed else []))
+    named = grouped.join(ids, "root").select("fp", "component_id", "root")
+    return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *(["rid", "root"] if keyed else []))
