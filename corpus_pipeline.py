@@ -10,11 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from talentlake.llm import decontamination, mixing, quality, simhash, suffix_dedup
 from talentlake.llm.common import row_key, written
 
-KEY = "__row"
+KEY, ROWS, FILE, PLACE = "__row", "__rows", "__file", "__place"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,12 +26,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each component the rows with the smallest id stay. Each row
-    goes by its own text, whatever other rows have its id; rows without an id stay."""
-    found = simhash.near_duplicates(docs, shingle=4, distance=4, keyed=True)
-    gone = found.where("doc_id > component_id").select(F.col("rid").alias(KEY), F.col("doc_id").alias("__id")).distinct()
-    x = docs.withColumn(KEY, row_key())
-    return x.join(gone, (x[KEY] == gone[KEY]) & (x["doc_id"] == gone["__id"]), "left_anti").select(docs.columns)
+    """SimHash near-dedup: of each component one row stays, the one with the smallest id (a null
+    id comes last; then the row key; of rows that repeat id and text, the least by all columns)."""
+    found = written(simhash.near_duplicates(docs, shingle=4, distance=4, keyed=True))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")).select(F.col("least.rid").alias(KEY))
+    kept = first.join(found.groupBy(F.col("rid").alias(KEY)).agg(F.count(F.lit(1)).alias(ROWS)), KEY)
+    keyed = docs.withColumn(KEY, row_key())
+    alone = keyed.join(kept.where(F.col(ROWS) == 1), KEY, "left_semi").select(docs.columns)
+    repeated = keyed.join(kept.where(F.col(ROWS) > 1), KEY, "left_semi")
+    one = repeated.groupBy(KEY).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return alone.unionByName(one)
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +57,28 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: documents with at least one copy, and how many copies and words the mix takes."""
-    found = mixing.mix(docs, weights=[5, 2, 1], most=3)
-    taken = found.groupBy(F.col("rid").alias(KEY)).agg(F.sum("copies").alias("copies"), F.sum("taken").alias("taken"))
-    return docs.withColumn(KEY, row_key()).join(taken.where("copies > 0"), KEY).drop(KEY)
+    """Mixing: documents with at least one copy, and how many copies and words the mix takes. Rows that
+    repeat id and text are documents of their own: each gets the copies of one of them."""
+    found = written(mixing.mix(docs, weights=[5, 2, 1], most=3).select(F.col("rid").alias(KEY), "copies", "taken"))
+    rows = found.groupBy(KEY).agg(F.count(F.lit(1)).alias(ROWS), F.sum("copies").alias("copies"), F.sum("taken").alias("taken"))
+    keyed = docs.withColumn(KEY, row_key())
+    alone = keyed.join(rows.where((F.col(ROWS) == 1) & (F.col("copies") > 0)).drop(ROWS), KEY).drop(KEY)
+    several = rows.where(F.col(ROWS) > 1).select(KEY)
+    # rows of one key are alike, so any order of either side will do, as long as it is one
+    repeated = placed(written(keyed.join(several, KEY, "left_semi")))
+    copies = placed(written(found.join(several, KEY, "left_semi")))
+    return alone.unionByName(repeated.join(copies, [KEY, PLACE]).where(F.col("copies") > 0).select(*docs.columns, "copies", "taken"))
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """Adds each row's place among the rows of its key, counted within files first, so that a key's
+    rows are not ordered in one task. rows: a written table."""
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    numbered = rows.select("*", F.xxhash64(at).alias(FILE), F.monotonically_increasing_id().alias(PLACE))
+    held = numbered.groupBy(KEY, FILE).agg(F.count(F.lit(1)).alias(ROWS))
+    before = F.coalesce(F.sum(ROWS).over(W.partitionBy(KEY).orderBy(FILE).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    within = F.row_number().over(W.partitionBy(KEY, FILE).orderBy(PLACE))
+    return numbered.withColumn(PLACE, within).join(held.withColumn(ROWS, before), [KEY, FILE]).withColumn(PLACE, F.col(PLACE) + F.col(ROWS)).drop(FILE, ROWS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -66,7 +89,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixed", mixed),
 ]
 
-ORACLE_SQL = None  # fingerprints and language models are beyond SQL; tests hold the stages against brute force
+ORACLE_SQL = None  # fingerprints and language models are beyond SQL; a test holds the stages' rows against plain Python
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
