@@ -8,7 +8,7 @@ the set counts one, and only the others run the merges.
 Pre-tokens never cross white space, and neither the normaliser (NFC, lower case)
 nor the pre-tokeniser looks across it, so the count of a text is the sum over its
 white-space separated words. Each task keeps the counts of words it has met in a
-cache of bounded size.
+cache of a bounded number of words of a bounded length.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; rows that repeat
 give a row each; special strings inside a text are single tokens, as the library
@@ -33,6 +33,7 @@ LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
 # The vocabulary's pre-token pattern over such words, lower-cased.
 PRE_TOKENS = f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^a-z0-9{LETTERS}]+"
 CACHE = 500_000  # entries, about 60 MB for each of two caches
+KEPT = 48  # characters of the longest word that is kept; in texts without white space a word may be the whole text
 
 
 def whole_tokens(tok) -> frozenset[str]:
@@ -70,7 +71,8 @@ def word_counter(path: str, cache: int = CACHE) -> Callable[[str], int]:
             n = 1 if spelled in whole else len(merges(spelled))
             if len(self) >= cache:
                 self.clear()
-            self[piece] = n
+            if len(piece) <= KEPT:
+                self[piece] = n
             return n
 
     pieces = Pieces()
@@ -87,7 +89,8 @@ def word_counter(path: str, cache: int = CACHE) -> Callable[[str], int]:
                 n = sum(1 if p in whole else len(merges(p)) for p, _ in split(normal(word)))
             if len(self) >= cache:
                 self.clear()
-            self[word] = n
+            if len(word) <= KEPT:
+                self[word] = n
             return n
 
     counts, words = Words(), re.compile(f"[^{WHITE}]+").findall

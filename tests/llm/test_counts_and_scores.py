@@ -204,3 +204,16 @@ def test_second_count_is_over_all_documents(spark):
     all_codes = {r["code"] for r in quality.counted(docs.select("text")).collect()}
     second = {r["code"]: r["n"] for r in quality.counted(docs, model, 2.5).collect()}
     assert set(second) == all_codes and min(second.values()) > 0 and max(second.values()) <= 3
+
+
+def test_token_cache_keeps_no_long_words():
+    """In text without white space a word may be a whole document: it is counted, not kept."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    count, tok = token_counts.word_counter(path), Tokenizer.from_file(path)
+    texts = ["中文字" * 5000, "ab1" * 20_000, prose(3, 400).replace(" ", ""), "é" * 9000, "don't" * 50, "x" * 47 + " " + "x" * 49]
+    assert [count(t) for t in texts + texts] == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts] * 2
+    kept = next(c.cell_contents for c in count.__closure__ if isinstance(c.cell_contents, dict) or hasattr(c.cell_contents, "__self__"))
+    kept = getattr(kept, "__self__", kept)
+    assert all(len(w) <= token_counts.KEPT for w in kept)
