@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from talentlake.llm import url_rules
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP2 = r"""
@@ -44,6 +46,11 @@ SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(k.n_removed, 0) A
 FROM d LEFT JOIN k USING (doc_id)
 """
 
+# The method's own list (url_rules.WORDS), in the dialect of SQL's expressions, which have no look-around.
+_words = [w for words in url_rules.WORDS.values() for w in words]
+HOSTS = "^([^/]*[.-])?(" + "|".join(w for w in _words if "-" not in w) + ")[.-]"
+PHRASES = "(^|[./-])(" + "|".join(w.replace("-", "[.-]") for w in _words if "-" in w) + ")([./-]|$)"
+
 OP9 = rf"""
 WITH a AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
      b AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h FROM a),
@@ -52,7 +59,7 @@ WITH a AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpo
      f AS (SELECT page_id, max_by(rh || rp, length(rh || rp)) AS rule, max_by(verdict, length(rh || rp)) AS verdict
            FROM c JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
 SELECT c.page_id, c.host, c.path, f.rule,
-       coalesce(f.verdict, CASE WHEN regexp_matches(host, '(^|[.-])(spam|casino|porn|malware)[.-]') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(f.verdict, CASE WHEN regexp_matches(translate(host || path, '{UPPER}', '{LOWER}'), '{HOSTS}|{PHRASES}') THEN 'block' ELSE 'allow' END) AS verdict
 FROM c LEFT JOIN f USING (page_id)
 """
 

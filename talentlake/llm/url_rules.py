@@ -14,7 +14,8 @@ Two kinds of rules:
 * pattern rules (kind, regex), the method's own: where no prefix rule fits, a url whose host
   and path match one is blocked, and all others are allowed. PATTERNS has one for each entry of
   WORDS: a word blocks as a part of the host, but not in a path, where a page may be about it; a
-  phrase blocks in the host and in the path. Paths are matched as they are written.
+  phrase blocks in the host and in the path. Patterns see host and path with A-Z lower-cased,
+  and are to be written so; prefix rules see the path as it is written.
 
 Defined results: null urls and those without ``://`` have an empty host and path, fit no
 rule and are allowed; rows that repeat are judged alike.
@@ -120,14 +121,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], patterns: list[tu
     """(page_id, host, path, rule, verdict) of every row."""
     spark = pages.sparkSession
     urls = pages.select("url").where("url is not null").distinct().select("url", host().alias("h"), path().alias("p"))
-    tokens = F.array_append(F.array_distinct(F.array_remove(F.split(F.concat_ws("/", "h", "p"), BREAK), "")), ANY)
-    held = urls.select("url", F.concat("h", "p").alias("at"), F.explode(tokens).alias("token"))
+    urls = urls.withColumn("l", F.translate("p", ascii_uppercase, ascii_lowercase))
+    # the path's own tokens for prefix rules, and in lower case for patterns
+    tokens = F.array_append(F.array_distinct(F.array_remove(F.split(F.concat_ws("/", "h", "p", "l"), BREAK), "")), ANY)
+    held = urls.select("url", F.concat("h", "p").alias("at"), F.concat("h", "l").alias("low"), F.explode(tokens).alias("token"))
     rows = spark.createDataFrame(rule_rows(rules, patterns), "id int, token string, regex string, rule string, verdict string, size int")
     few = F.broadcast if len(rules) + len(patterns) <= SMALL else (lambda x: x)
     seen = held.join(few(rows.select("token").distinct()), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rarest = F.row_number().over(W.partitionBy("id").orderBy(F.coalesce("n", F.lit(0)), "token"))
     filed = rows.join(seen, "token", "left").withColumn("k", rarest).where("k = 1").drop("k", "n", "id")
-    fits = held.join(few(filed), "token").where(F.regexp_like("at", F.col("regex")))
+    fits = held.join(few(filed), "token").where(F.regexp_like(F.when(F.col("size") < 0, F.col("low")).otherwise(F.col("at")), F.col("regex")))
     best = F.max(F.struct("size", (F.col("verdict") == "block").alias("blocks"), F.col("rule"), "verdict"))
     found = fits.groupBy(F.col("url").alias("u")).agg(best.alias("best"))
     out = pages.select("page_id", "url").join(found, F.col("url") == F.col("u"), "left")
