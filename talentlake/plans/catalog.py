@@ -802,6 +802,9 @@ ORACLE |= {
     "sql_known_pay": _gold("""SELECT profil_normalise AS profil, COUNT(*) AS nb_offres, COUNT(*) FILTER (salaire_connu) AS nb_connus, median(salaire_median_mad) FILTER (salaire_connu) AS mediane,
     COUNT(DISTINCT competence) AS nb_competences FROM silver LEFT JOIN (SELECT profil, competence FROM gold_top WHERE competence = 'python') t ON t.profil = profil_normalise GROUP BY profil_normalise"""),
 }
+# queries on a lake that a whole run of the job made (``_shared``)
+WHOLE_JOB = {"lake_silver", "lake_skills", "lake_gold", "analysis_bundle", "bronze_partitions_listed", "bronze_metadata_replayed", "gold_pay_json", "sql_city_rank", "sql_known_pay",
+             *(f"{kind}_{n}" for n in GOLD_ORACLES for kind in ("lake", "month")), *(f"bundle_{n}" for n in BUNDLE_ORACLES)}
 # estimates have no SQL: tests hold them to the exact counts
 ESTIMATES = {"gold_top_skills_approx"}
 
