@@ -77,17 +77,18 @@ def run_bronze(raw: DataFrame, paths: LakePaths, source_file: str = "") -> None:
 
 def run_silver(spark: SparkSession, paths: LakePaths, dictionary: Dictionary | None = None,
                months: Sequence[str] | None = None) -> None:
-    """Silver and skills from bronze. months: ``YYYY_MM`` keys of bronze to (re)do, all
-    if None; ``date_inconnue`` stands for listings without a month."""
+    """Silver and skills from bronze, both without a shuffle: bronze lies by source and month,
+    silver by month, and so do the rows that a task reads and writes. months: ``YYYY_MM`` keys of
+    bronze to (re)do, all if None; ``date_inconnue`` stands for listings without a month."""
     bronze = B.read_bronze(spark, paths.bronze)
     if months is not None:
         bronze = bronze.where(F.col("month_key").isin(list(months)))
     bronze = bronze.drop(*B.BRONZE_META_COLUMNS, B.RAW_JSON, "source_key", "month_key")
     whole = months is None
     silver = to_silver(bronze).withColumn(MONTH, B.month_key(F.col("date_publication")))
-    write_table(silver, paths.silver_listings, [MONTH], whole)
+    write_table(silver, paths.silver_listings, [MONTH], whole, clustered=True)
     skills = extract_skills(read_silver(spark, paths.silver_listings, months), dictionary)
-    write_table(skills.withColumn(MONTH, B.month_key(F.col("date_pub"))), paths.silver_skills, [MONTH], whole)
+    write_table(skills.withColumn(MONTH, B.month_key(F.col("date_pub"))), paths.silver_skills, [MONTH], whole, clustered=True)
 
 
 def read_silver(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:

@@ -140,14 +140,14 @@ def read_raw_json_lines(spark: SparkSession, path: str, on_error: str = "fail")
     return accepted(parse_json_lines(spark, path).drop("fichier"), on_error)
 
 
-def write_bronze(raw: DataFrame, bronze_path: str, source_file: str = "", codec: str = "gzip") -> None:
+def write_bronze(raw: DataFrame, bronze_path: str, source_file: str = "", codec: str = "gzip", rows_a_file: int = 1_000_000) -> None:
     """Land raw listings (unmodified) with metadata, partitioned by
     (source_key, month_key); only the partitions present are replaced.
 
     ``REBALANCE(source_key, month_key)`` groups rows of a partition into few
     files while AQE splits a hot partition (e.g. one source holding a third
     of all rows) over several tasks instead of one. Files are compressed with
-    ``codec``; several files a partition keep them splittable enough."""
+    ``codec``; a compressed file is one task's work, so it holds ``rows_a_file`` listings at most."""
     as_json = F.col(RAW_JSON) if RAW_JSON in raw.columns else F.lit(None).cast("string")
     keyed = with_partition_keys(raw).select(
         *[F.col(c) for c in RAW_COLUMNS],
@@ -162,6 +162,7 @@ def write_bronze(raw: DataFrame, bronze_path: str, source_file: str = "", codec:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", codec)
+        .option("maxRecordsPerFile", rows_a_file)
         .partitionBy(*BRONZE_PARTITION_COLUMNS)
         .json(bronze_path)
     )

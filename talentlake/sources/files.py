@@ -18,16 +18,18 @@ def read_companies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=COMPANIES, escape='"', multiLine=True)
 
 
-def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), whole: bool = True) -> None:
+def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), whole: bool = True, clustered: bool = False) -> None:
     """Parquet sink (snappy is Spark's default codec) through the commit protocol:
     the whole table is replaced, or with ``whole=False`` only the partitions present.
 
     ``REBALANCE`` by the partition columns gives few files a partition, and lets AQE
-    split a large one over several tasks."""
+    split a large one over several tasks. ``clustered=True`` says that the input's files lie
+    by these columns already: each task then has rows of few partitions, and nothing is shuffled."""
     if not partitions:
         df.write.mode("overwrite").parquet(path)
         return
-    writer = df.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions)
+    dealt = df if clustered else df.hint("rebalance", *partitions)
+    writer = dealt.write.mode("overwrite").partitionBy(*partitions)
     writer.option("partitionOverwriteMode", "static" if whole else "dynamic").parquet(path)
 
 
