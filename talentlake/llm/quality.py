@@ -1,10 +1,13 @@
 """Quality rules: n-gram perplexity under a modified Kneser-Ney model, beside base rules.
 
-The n-grams are of four character classes, 64 of them: letters, digits, space, line
-break, punctuation, and 32 that share all other characters by code point. So a
-model of any corpus has at most 64^4 entries (16.8 million, 200 MB at the very most,
-a few MB on real text), which bounds what the driver gathers and broadcasts, and
-counting needs no shuffle of texts or words. Word n-grams have no such bound.
+The n-grams are of four symbols, of 64 classes: letters, digits, space, line break, sentence
+ends, other punctuation, other ASCII symbols, and 30 that share all other characters by code
+point. Letters are folded, and each run of upper-case letters has a mark before it, a symbol of its
+own: so the model knows where texts write capitals (after a sentence's end and a space, or at
+a word's begin) and where not. A model of any corpus has at most 64^4 entries (16.8
+million, 200 MB at the very most, a few MB on real text), which bounds what the driver
+gathers and broadcasts, and counting needs no shuffle of texts or words. Word n-grams have no
+such bound.
 
 1. Spark counts the 4-grams of all documents: sorted codes in each task, then sums.
 2. Continuation counts, counts of counts, discounts D1, D2 and D3+ of each order and the
@@ -26,7 +29,8 @@ counting needs no shuffle of texts or words. Word n-grams have no such bound.
 
 Defined results: null, empty and blank texts have no words, fail the base rules and have no
 perplexity; a null language is a language of its own; rows that repeat are judged alike; a
-language without a document that passes the base rules has no band.
+language without a document that passes the base rules has no band. doc_id is cast to long (a
+text id that is no number ends the job); without a column lang all documents are of the null one.
 """
 
 from __future__ import annotations
@@ -44,6 +48,8 @@ from talentlake.llm.common import prepare, row_key, text_bytes, written
 
 ORDER, CLASS_BITS = 4, 6
 CLASSES = 1 << CLASS_BITS
+UPPER, CAPITALS = CLASSES, 33  # flag of an upper-case letter; class of the mark before a run of them
+CASED = 0x1E944  # code points below it may be letters of two cases
 CHUNK = 1 << 19  # bytes of text worked on at once
 SYMBOLS = b"#*$%&|<>"
 BASE = 0x9E3779B97F4A7C15
@@ -53,15 +59,21 @@ PRIOR = 10  # documents that the spread within all languages counts for
 
 
 def class_table() -> np.ndarray:
-    """Class of each code point; 0 is the mark before a text's begin."""
-    t = (32 + np.arange(0x110000) % 32).astype(np.uint8)
-    t[:128] = 31
+    """Class of each code point, with UPPER added for upper-case letters; 0 is the mark before
+    a text's begin."""
+    t = (34 + np.arange(0x110000) % 30).astype(np.uint8)
+    t[:128] = 32
     for i, c in enumerate("abcdefghijklmnopqrstuvwxyz"):
-        t[ord(c)] = t[ord(c.upper())] = i + 1
+        t[ord(c)] = i + 1
     t[ord("0") : ord("9") + 1] = 27
     t[[ord(c) for c in " \t\v\f\r"]] = 28
     t[ord("\n")] = 29
-    t[[ord(c) for c in ".,;:!?'\"()-"]] = 30
+    t[[ord(c) for c in ".!?"]] = 30
+    t[[ord(c) for c in ",;:'\"()-"]] = 31
+    for i in range(CASED):
+        low = chr(i).lower()
+        if low != chr(i) and len(low) == 1:
+            t[i] = t[ord(low)] | UPPER
     return t
 
 
@@ -78,17 +90,25 @@ def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def ngrams(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed classes of the 4-gram that ends at each character, and characters of each text."""
+    """Packed classes of the 4-gram that ends at each symbol, and symbols of each text."""
     points = [np.frombuffer(t.decode("utf-8", "replace").encode("utf-32-le"), np.uint32) for t in texts]
-    n = np.array([len(p) for p in points], np.int64)
     pad = np.zeros(ORDER - 1, np.uint8)
-    c = np.concatenate([x for p in points for x in (pad, table[p])]).astype(np.uint32) if points else np.zeros(0, np.uint32)
+    c = np.concatenate([x for p in points for x in (pad, table[p])]) if points else pad[:0]
+    upper = c >= UPPER
+    mark = upper.copy()
+    mark[1:] &= ~upper[:-1]
+    marks = np.cumsum(mark)
+    at = np.flatnonzero(mark)
+    c = np.repeat(c & (UPPER - 1), 1 + mark.astype(np.int8)).astype(np.uint32)
+    c[at + np.arange(len(at))] = CAPITALS
+    ends = np.cumsum([len(p) + ORDER - 1 for p in points], dtype=np.int64)  # with pads, without marks
+    ends += marks[ends - 1] if len(marks) else 0
+    n = np.diff(np.r_[0, ends]) - (ORDER - 1)
     code = c[ORDER - 1 :].copy()
     for k in range(1, ORDER):
         code |= c[ORDER - 1 - k : len(c) - k] << np.uint32(CLASS_BITS * k)
-    ends = np.cumsum(n + ORDER - 1) - (ORDER - 1)
     keep = np.ones(len(code), bool)
-    for e in ends[:-1].tolist():
+    for e in (ends - (ORDER - 1))[:-1].tolist():
         keep[e : e + ORDER - 1] = False
     return code[keep], n
 
@@ -128,7 +148,7 @@ class Model:
 
 
 def mean_scores(m: Model, index: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Mean log10 probability of a character, for each text; NaN for an empty one."""
+    """Mean log10 probability of a symbol, for each text; NaN for an empty one."""
     lp = index[code]
     miss = np.flatnonzero(np.isnan(lp))
     if len(miss):
@@ -138,8 +158,8 @@ def mean_scores(m: Model, index: np.ndarray, code: np.ndarray, n: np.ndarray) ->
 
 
 def half_band(scale, spread: float, n, root, at_least):
-    """Half the width of a band for a text of n characters: ``spread`` deviations, of the
-    language's texts and of a mean of n characters (0.45 each, about)."""
+    """Half the width of a band for a text of n symbols: ``spread`` deviations, of the
+    language's texts and of a mean of n of them (0.45 each, about)."""
     return spread * root(scale * scale + 0.2 / at_least(n))
 
 
@@ -275,11 +295,15 @@ def base_measures(texts: list[bytes]) -> dict[str, np.ndarray]:
     return {"n_words": n, "word_chars": total(first & ~space[b]), "n_symbols": total(symbol[b]), "n_dup_lines": lines, "n_repeat_words": repeated}
 
 
+def language(docs: DataFrame) -> Column:
+    return (F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")).alias("lang")
+
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_points")
 
 
 def measured(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, rid, lang), the base measures, and the mean log10 probability of a character."""
+    """(doc_id, rid, lang), the base measures, and the mean log10 probability of a symbol."""
     shared = docs.sparkSession.sparkContext.broadcast((model.probabilities, model.weights))  # plain arrays: a class would need the package there
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,16 +319,16 @@ def measured(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("rid"), b.column("lang"), *cols, pa.array(mean, from_pandas=True)], ["doc_id", "rid", "lang", *MEASURES, "mean"])
 
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("rid", T.LongType()), T.StructField("lang", T.StringType())] + [T.StructField(k, T.LongType()) for k in MEASURES] + [T.StructField("mean", T.DoubleType())])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("rid"), F.col("lang").cast("string").alias("lang"), text_bytes().alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("rid"), language(docs), text_bytes().alias("text")).mapInArrow(run, schema)
 
 
-def judged(docs: DataFrame, spread: float = 5.0, core: float = 2.5, least_words: int = 10, most_repeated: int = 20) -> DataFrame:
+def judged(docs: DataFrame, spread: float = 5.0, core: float = 1.5, least_words: int = 10, most_repeated: int = 20) -> DataFrame:
     """(doc_id, rid, the measures, base_failed, perplexity, lower, upper, kept) of every row."""
     spark = prepare(docs.sparkSession)
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     model = kneser_ney(written(counted(docs)))
     bands = written(banded(measured(docs, model).where(~failed)))
-    text = docs.select(F.col("lang").cast("string").alias("lang"), "text")
+    text = docs.select(language(docs), "text")
     model = kneser_ney(written(counted(with_band(text, bands), model, core)))
     rows = written(measured(docs, model).withColumn("base_failed", failed))
     x = with_band(rows, written(banded(rows.where(~F.col("base_failed")))))

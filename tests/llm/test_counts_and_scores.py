@@ -180,6 +180,37 @@ def test_kneser_ney(spark):
     assert np.isnan(model.index()[asked]).tolist() == [int(c) not in set(codes.tolist()) for c in asked]
 
 
+def test_ngrams_mark_capitals():
+    """Against symbols written one by one: a mark before each run of upper-case letters, none across texts."""
+    table = quality.class_table()
+    texts = ["", "A", "aB", "ABC d", "Éa ÉÉ.", "x", "Z", "Zß İ", "a" * 9, "Пр ПР п"]
+
+    def symbols(t):
+        out, before = [], False
+        for c in t:
+            upper = c.lower() != c and len(c.lower()) == 1
+            out += [quality.CAPITALS] * (upper and not before) + [int(table[ord(c)]) % quality.UPPER]
+            before = upper
+        return out
+
+    code, n = quality.ngrams([t.encode() for t in texts], table)
+    made = [[0, 0, 0, *symbols(t)] for t in texts]
+    assert n.tolist() == [len(m) - 3 for m in made]
+    assert [tuple(int(c) >> 6 * k & 63 for k in (3, 2, 1, 0)) for c in code] == [tuple(m[k : k + 4]) for m in made for k in range(len(m) - 3)]
+    assert table[ord("É")] == table[ord("é")] | quality.UPPER and table[ord("П")] == table[ord("п")] | quality.UPPER
+    assert quality.ngrams([], table)[1].tolist() == []
+
+
+def test_quality_rejects_odd_case(spark):
+    sentence = lambda i: ". ".join(prose(31 * i + k, 12).replace("\n", "").replace(".", "").capitalize() for k in range(10))
+    row = lambda i, t: (i, t, "en", "s", 1, "r", 1, "f", "s", "k", "q")
+    odd = ["".join(c.upper() if k % 2 else c.lower() for k, c in enumerate(sentence(900 + i))) for i in range(3)]
+    docs = documents(spark, [row(i, sentence(i)) for i in range(200)] + [row(1000 + i, t) for i, t in enumerate([*odd, sentence(950).upper()])])
+    assert {r["doc_id"] for r in quality.judged(docs).where("kept").collect()} == set(range(200))
+    # without a language, all are of the null one
+    assert {r["doc_id"] for r in quality.judged(docs.drop("lang")).where("kept").collect()} == set(range(200))
+
+
 def test_quality_rejects_odd_texts(spark):
     good = [(i, prose(i, 80), "en", "s", 1, "r", 1, "f", "s", "k", "q") for i in range(200)]
     odd = [(1000 + i, " ".join(f"{a * 7919 % 997}|{a}" for a in range(i, i + 80)), "en", "s", 1, "r", 1, "f", "s", "k", "q") for i in range(3)]
