@@ -12,7 +12,8 @@ P(word | class) = (c + 1) / (sum of the class's known (c + 1), + 1 for the unkno
 2. Baum-Welch: every training document's expected transition and emission counts are
    summed in its task, then by Spark over all partitions; only states times classes
    numbers reach the driver. Long documents train in segments; a segment that is not
-   a document's first starts from the states' overall shares.
+   a document's first begins with the token before it, from the states' overall shares, so that
+   the move over each border is counted, and that token's emission once.
    The first estimate gives each frequent language two states, slightly apart.
 3. The scaled forward recursion runs over each whole document, and its log scales add
    up to the exact likelihood of the class sequence.
@@ -21,7 +22,8 @@ Words travel as 55 bits of a hash beside the 9 bits of their suffix class.
 
 Defined results: null, empty and blank texts are the end token alone; a null doc_id is
 training (the checksum of the empty text); rows that repeat are counted and scored each;
-without any training document all counts are zero and states are uniform.
+without any training document all counts are zero and states are uniform. doc_id is cast to
+long: a text id that is no number ends the job.
 """
 
 from __future__ import annotations
@@ -85,7 +87,8 @@ class Classes:
 
 
 def segments(n: np.ndarray, most: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(begin, length, first of its text) of the parts of texts, longest first."""
+    """(begin, length, first of its text) of the parts of texts, longest first; a part that is not
+    the first has the token before it too."""
     begin = np.cumsum(n) - n
     if most is None:
         b, size, first = begin, n, np.ones(len(n), bool)
@@ -93,9 +96,9 @@ def segments(n: np.ndarray, most: int | None) -> tuple[np.ndarray, np.ndarray, n
         k = -(-n // most)
         text = np.repeat(np.arange(len(n)), k)
         part = np.arange(len(text)) - np.repeat(np.cumsum(k) - k, k)
-        b = begin[text] + part * most
-        size = np.minimum(most, n[text] - part * most)
         first = part == 0
+        b = begin[text] + part * most - ~first
+        size = np.minimum(most, n[text] - part * most) + ~first
     order = np.argsort(-size, kind="stable")
     return b[order], size[order], first[order]
 
@@ -148,9 +151,11 @@ def expected(classes: np.ndarray, n: np.ndarray, start: np.ndarray, share: np.nd
         beta[:m] = w @ back
         gammas.append(alphas[t] * beta)
     gammas.reverse()
+    starts = gammas[0][first].sum(axis=0, dtype=np.float64)
+    gammas[0] = gammas[0] * first[:, None]  # of the other parts, the part before counted it
     flat, g = np.concatenate(seen), np.concatenate(gammas)
     emissions = np.stack([np.bincount(flat, g[:, k], minlength=len(emit)) for k in range(emit.shape[1])], axis=1)
-    return gammas[0][first].sum(axis=0, dtype=np.float64), moves * move, emissions
+    return starts, moves * move, emissions
 
 
 class Parameters:

@@ -100,6 +100,25 @@ def test_forward_and_expected_counts():
         assert x == pytest.approx(y)
 
 
+@pytest.mark.parametrize("segment", [1, 2, 3, 7, 100])
+def test_moves_over_segment_borders_are_counted(monkeypatch, segment):
+    """Each class has a state of its own, so the expected counts are those of the classes."""
+    monkeypatch.setattr(hmm, "SEGMENT", segment)
+    rng = np.random.default_rng(segment)
+    n = np.array([1, 2, 3, 7, 8, 40])
+    classes = rng.integers(0, 3, n.sum()).astype(np.int32)
+    starts, moves, at = np.zeros(3), np.zeros((3, 3)), 0
+    for size in n:
+        seq = classes[at : at + size]
+        at += size
+        starts[seq[0]] += 1
+        np.add.at(moves, (seq[:-1], seq[1:]), 1)
+    start, move, _ = hidden(rng, 3, 3)
+    got = hmm.expected(classes, n, start, start, move, np.eye(3))
+    for x, y in zip(got, (starts, moves, np.diag(np.bincount(classes, minlength=3)))):
+        assert x == pytest.approx(y)
+
+
 def test_hmm_is_a_distribution_and_learns(spark):
     """Two languages: held-out texts score above the base, and above the model without training."""
     data = [(i, prose(i, 60, "abcde" if i % 2 else "vwxyz"), None, "s", 1, "r", 1, "f", "s", "k", "q") for i in range(300)]
