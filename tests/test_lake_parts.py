@@ -168,3 +168,32 @@ def test_bundle_document(spark, scratch):
     for key, df in results.items():
         assert doc[key] == [r.asDict() for r in df.collect()]
         assert list(map(tuple, read_bundle_document(spark, path, key, df).collect())) == list(map(tuple, df.collect()))
+
+
+def test_envelope_lake_has_one_file_a_partition(spark, scratch):
+    """However the shuffles are dealt, a partition's head, lines and end are one file in order."""
+    raw = listings_from_tables(spark, SF_SMALL)
+    # few counts are dealt to one task, listings to several
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    kept = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        E.write_envelope_lake(raw, scratch)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    back = E.read_envelope_lake(spark, scratch)
+    assert rows(back.select("id_offre", "source_key", "month_key")) == rows(B.with_partition_keys(raw).select("id_offre", "source_key", "month_key"))
+    assert E.envelope_metadata(spark, scratch).agg(F.sum("nb_offres")).first()[0] == raw.count()
+
+
+def test_opened_envelope_rows_carry_no_document(spark):
+    """A document's text, or what is read of it, is not copied into each of its listings' rows."""
+    docs = spark.range(2).select(F.concat(F.lit('{"offres": [{"id_offre": "x'), F.col("id"), F.lit('"}, {"id_offre": "y"}]}')).alias("value"), F.col("id"))
+    parsed = B.accepted(B.opened_envelopes(docs), "reject").select("id", "id_offre")
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    (at,) = [i for i, line in enumerate(plan) if "Generate posexplode(_texts" in line]
+    below = plan[at + 1].split("Project [")[1]   # the columns that a listing's row can carry
+    assert below.startswith("id#") and "AS _broken#" in below and "AS _texts#" in below and "value#" not in below.split(" AS ")[-1]
+    assert rows(parsed) == [(0, "x0"), (0, "y"), (1, "x1"), (1, "y")]
