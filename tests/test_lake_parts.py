@@ -197,3 +197,19 @@ def test_opened_envelope_rows_carry_no_document(spark):
     below = plan[at + 1].split("Project [")[1]   # the columns that a listing's row can carry
     assert below.startswith("id#") and "AS _broken#" in below and "AS _texts#" in below and "value#" not in below.split(" AS ")[-1]
     assert rows(parsed) == [(0, "x0"), (0, "y"), (1, "x1"), (1, "y")]
+
+
+def test_top_skills_hold_one_sort(spark):
+    """Distinct ids of each level, where ids, profiles and whole rows repeat and keys are null; between the
+    shuffle of the pairs and their count there is a sort, and no table of all pairs."""
+    data = [(f"L-{i % 7}" if i % 5 else None, f"P{i % 3}" if i % 11 else None, "f", f"s{i % 4}") for i in range(120)] + [("L-x", "P0", "inconnu", "non_détecté")]
+    skills = spark.createDataFrame(data, "id_offre string, profil string, famille string, competence string")
+    known = [r for r in data if r[3] != "non_détecté"]
+    want = {}
+    for profil, comp, ids in [(p, c, i) for i, p, _, c in known] + [("tous", c, i) for i, _, _, c in known]:
+        want.setdefault((profil, comp), set()).add(ids)
+    for profiles, total in ((True, True), (True, False), (False, True)):
+        got = {(r.profil, r.competence): r.nb_offres_mentionnent for r in G.top_skills(skills, None, with_total_level=total, with_profiles=profiles).collect()}
+        assert got == {k: len(v) for k, v in want.items() if (total if k[0] == "tous" else profiles)}
+        plan = G.top_skills(skills, None, with_total_level=total, with_profiles=profiles)._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Aggregate [id_offre" in x and "famille" in x.split("]")[0]]
